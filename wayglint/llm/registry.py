@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-MODULES = ("simhash",)
+MODULES = ("quality_rules", "rule_ensemble", "simhash", "mixing", "decontamination", "tokens", "secrets")
 
 
 def queries() -> dict[str, Callable]:
