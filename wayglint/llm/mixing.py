@@ -161,7 +161,7 @@ sampled AS (
 """ + "".join(f"""c{k} AS (
   SELECT * EXCLUDE (s, gap), coalesce(s OR n = 1, s) AS s, gap - coalesce(max(size) FILTER (n = 1) OVER (PARTITION BY source), 0) AS gap
   FROM (SELECT *, CASE WHEN ok THEN row_number() OVER (PARTITION BY source ORDER BY NOT ok, abs(gap - size), r, doc_id, size) END AS n
-        FROM (SELECT * EXCLUDE n, NOT s AND budget > 0 AND size > 0 AND abs(gap - size) < gap AS ok FROM {'(SELECT *, 0 AS n, true AS ok FROM sampled)' if k == 1 else f'(SELECT * EXCLUDE ok FROM c{k - 1})'}))),
+        FROM (SELECT * EXCLUDE n, NOT s AND budget > 0 AND size > 0 AND abs(gap - size) < gap AS ok FROM {'(SELECT *, 0 AS n FROM sampled)' if k == 1 else f'(SELECT * EXCLUDE ok FROM c{k - 1})'}))),
 """ for k in (1, 2, 3)) + """
 taken AS (SELECT * FROM c3)
 SELECT doc_id, size, source_size, target, (size * (whole + s::INT))::BIGINT AS taken FROM taken
