@@ -11,8 +11,10 @@ from .common import small_side, words_of
 
 #: Buckets that words and word pairs are hashed to; the model is one number a bucket, so its size is fixed.
 BUCKETS = 1 << 15
+#: N-grams that each bucket is taken to have had before, as many of them in the target as its share of all.
+PRIOR = 8.0
 #: Nats per n-gram below which a document is nearer to the raw corpus than to the trusted target.
-THRESHOLD = -0.35
+THRESHOLD = -0.2
 #: Fixed rules of the base verdict.
 MIN_WORDS, MAX_REPEATED_PERCENT, SYMBOLS = 10, 20, "#*$%&|<>"
 
@@ -31,7 +33,9 @@ def _hashed(text: Column, keep: list[Column], docs: DataFrame) -> DataFrame:
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """ln(p_target / p_raw) of each bucket, add-one smoothed; p_raw of all of ``docs``, p_target of those in ``trusted(doc_id)``.
+    """ln(p_target / p_raw) of each bucket; p_raw of all of ``docs``, p_target of those in ``trusted(doc_id)``.
+
+    Each bucket gets PRIOR n-grams more, in the target its share of them, so that rare ones say little.
 
     One pass over the texts, in which each task sends a row a bucket at most. The driver gets ``buckets`` rows.
     """
@@ -43,8 +47,9 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> li
     raw, target = sum(x for x, _ in total.values()), sum(x for _, x in total.values())
     if not target:
         return [0.0] * buckets
+    share = target / raw
     of = [total.get(b, (0, 0)) for b in range(buckets)]
-    return [math.log((t + 1) / (target + buckets)) - math.log((r + 1) / (raw + buckets)) for r, t in of]
+    return [math.log((t + PRIOR * share) / (r + PRIOR)) - math.log(share) for r, t in of]
 
 
 def base_counts(docs: DataFrame, keep: list[str]) -> DataFrame:

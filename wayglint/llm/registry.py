@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-MODULES = ("quality_rules", "rule_ensemble", "simhash", "mixing", "decontamination", "tokens", "substring", "secrets")
+MODULES = ("quality_rules", "rule_ensemble", "simhash", "mixing", "decontamination", "tokens", "substring", "html_extract", "lm_scoring", "secrets")
 
 
 def queries() -> dict[str, Callable]:
