@@ -106,3 +106,39 @@ def test_pick_up_once(spark, tmp_path):
             spark.range(more).write.mode("append").parquet(str(tmp_path / "src"))
         pick_up(spark, str(tmp_path / "src"), spark.range(1).schema, str(tmp_path / "ck"), lambda batch, n: seen.append(batch.count()))
     assert seen == [3, 2]
+
+
+def test_stages_from_csv_to_statistics(spark, tmp_path):
+    from wayglint.config import Settings
+    from wayglint.plans import pipelines
+
+    s = Settings()
+    names = ",".join(files.IMAGE_COLUMNS.names)
+    rows = [f"s{i % 3},{i},http://x,{0.1 + i * 0.0005:.6f},0.5,POINT ({0.1 + i * 0.0005:.6f} 0.5),1,1,,a,b,c,false,{1000 + i}" for i in range(60)]
+    (tmp_path / "a.csv").write_text("\n".join([names, *rows]) + "\n")
+    pipelines.images_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "images"), s)
+    images = files.read_parquet(spark, str(tmp_path / "images"))
+    assert images.count() == 60
+
+    box = lambda d: d.withColumn("geometry", geo.box("x0", "y0", "x1", "y1")).drop("x0", "y0", "x1", "y1")
+    countries = box(spark.createDataFrame([("A", "K", 0.0, 0.0, 1.0, 1.0)], "country string, continent string, x0 double, y0 double, x1 double, y1 double"))
+    urban = box(spark.createDataFrame([(5, 0.1, 0.4, 0.115, 0.6)], "urban_id int, x0 double, y0 double, x1 double, y1 double"))
+    areas = pipelines.prepare_urban(urban, countries, "urban_id", s.zoom)
+    assert areas.first().country == "A" and areas.first().tiles
+    d = pipelines.enrich(images.drop("tile", "geometry"), countries, {"urban_id": areas.drop("tiles", "continent")}, s).cache()
+    assert d.where("urban = 1").count() == 31 and d.where("country = 'A'").count() == 60
+
+    line = geo.line(F.array(geo.vertex(0.1, 0.50005), geo.vertex(0.2, 0.50005)))
+    raw = spark.createDataFrame([(1, "primary", True), (2, "footway", True), (3, "primary", False)], "osm_id long, h string, latest boolean").select("osm_id", "latest", F.lit(True).alias("visible"), line.alias("geometry"), F.create_map(F.lit("highway"), F.array("h")).alias("tags"))
+    roads = pipelines.prepare_roads(raw, countries, s)
+    assert {r.osm_id for r in roads.collect()} == {1}
+    found = pipelines.match_images(d, roads, s)
+    assert found.count() == 60 and found.agg(F.max("distance_meter")).first()[0] < 6
+
+    labelled = d.join(found.drop("n", "abs_diff", "percent_diff"), "id").withColumns({"pred_label": F.lit(1), "pred_score": F.lit(0.9), "zs_pred_score": F.lit(0.0), "no_road_image_filter": F.lit(1)})
+    lengths = roads.withColumns({"length": F.lit(100.0), "urban": F.lit(0), "urban_id": F.lit(None).cast("int"), "z14_tiles": F.lit("x")})
+    tables = pipelines.statistics(labelled, lengths, s, ("world",))
+    pipelines.write_layers(tables, str(tmp_path / "stats"))
+    world = files.read_parquet(spark, str(tmp_path / "stats/world")).first()
+    assert (world.number_of_images, world.unpaved_segments, world.number_of_osm_ids, world.primary_id) == (60, 2, 1, 1)
+    assert world.length_urban > 0 and pipelines.tile_table(spark, (0, 0.1, 3, 3), 8).count() == 9
