@@ -74,5 +74,9 @@ def test_empty_table_and_dedup(spark):
 
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(5, 5), (5, 6), (None, 3)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(path, "u long, v long")).collect()}
-    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    edges = spark.createDataFrame(path, "u long, v long")
+    for small in (0, 1000):
+        rows = connected_components(edges, small).collect()
+        assert {r.node: r.component for r in rows} == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+        assert len(rows) == 71
+        assert connected_components(edges.limit(0), small).collect() == []

@@ -85,7 +85,7 @@ def link(distinct: DataFrame, distance: int = 4) -> DataFrame:
     leaders = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp", "key").alias("h"), F.col("fp").alias("leader"))).alias("m"), F.count("*").alias("n"))
     leaders = leaders.where("n > 1").select("key", "m.leader")
     near = keys.join(leaders, "key").where(F.col("fp") != F.col("leader")).where(_close("fp", "leader", distance))
-    first = connected_components(near.select(F.col("fp").alias("u"), F.col("leader").alias("v")))
+    first = materialize(connected_components(near.select(F.col("fp").alias("u"), F.col("leader").alias("v"))), "components")
 
     named = distinct.join(first.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
     members = materialize(named.select("fp", "component", F.explode(block_keys(F.col("fp"), blocks, joined)).alias("key")), "members")
