@@ -32,9 +32,9 @@ def _with_words(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def shingles_of(rows: DataFrame, *keep: str, length: int = 5) -> DataFrame:
-    """``keep, shingle, h``: each different shingle of each row of ``rows``, space-joined, and its hash."""
+    """``keep, shingle, h``: a row for each shingle of each row of ``rows``, repeats included, space-joined, and its hash."""
     one = lambda i: F.struct(F.array_join(F.slice("w", i + 1, length), " ").alias("shingle"), _hash_at(F.col("wh"), i, length).alias("h"))
-    return _with_words(rows, *keep).select(*keep, F.inline(F.array_distinct(F.transform(_places(F.col("w"), length), one))))
+    return _with_words(rows, *keep).select(*keep, F.inline(F.transform(_places(F.col("w"), length), one)))
 
 
 def benchmark_shingles(items: DataFrame, length: int = 5) -> DataFrame:
@@ -84,7 +84,8 @@ def contaminated(docs: DataFrame, items: DataFrame, length: int = 5, containment
 
     texts = of_rows(d, candidates).dropDuplicates(["doc_id", "text_hash"])
     own = shingles_of(texts, "doc_id", "text_hash", length=length).select("doc_id", "text_hash", "shingle")
-    shared = own.join(small_side(shingles.select("shingle", "item_id", "m")), "shingle").groupBy("doc_id", "text_hash", "item_id").agg(F.count("*").alias("n_shared"), F.max("m").alias("n_shingles"))
+    hits = own.join(small_side(shingles.select("shingle", "item_id", "m")), "shingle").distinct()
+    shared = hits.groupBy("doc_id", "text_hash", "item_id").agg(F.count("*").alias("n_shared"), F.max("m").alias("n_shingles"))
     found = shared.where(F.col("n_shared") >= _needed(F.col("n_shingles"), containment))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
