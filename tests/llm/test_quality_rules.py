@@ -46,3 +46,15 @@ def test_ratio_parts_target_from_raw(spark):
     assert not any(got[d].kept for d, _ in bad)
     assert quality_rules(docs.limit(0), docs.limit(0)).collect() == []
     assert all(x.llr == 0 for x in quality_rules(docs, docs.limit(0)).collect())
+
+
+def test_bad_share_is_rejected_at_two_sizes(spark):
+    """Where n-grams share buckets, scores shrink; the cut has to follow."""
+    plain, noise = [f"w{i}" for i in range(100)], [f"q{i}!" for i in range(5)]
+    for size in (300, 1500):
+        r = random.Random(size)
+        text = lambda bad: " ".join(r.sample(w := r.choices(plain, k=45) + r.choices(noise if bad else plain, k=15), len(w)))
+        d = spark.createDataFrame([(i, text(i % 5 == 0)) for i in range(size)], "doc_id long, text string").repartition(4)
+        got = {x.doc_id: x.kept for x in quality_rules(d, d.where("doc_id % 5 in (1, 2)").select("doc_id"), buckets=256).collect()}
+        assert sum(got[i] for i in range(0, size, 5)) <= 0.02 * size / 5, size
+        assert sum(got[i] for i in range(size) if i % 5) >= 0.97 * size * 4 / 5, size

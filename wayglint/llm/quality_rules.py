@@ -13,7 +13,10 @@ from .common import small_side, words_of
 BUCKETS = 1 << 15
 #: N-grams that each bucket is taken to have had before, as many of them in the target as its share of all.
 PRIOR = 8.0
-#: Nats per n-gram below which a document is nearer to the raw corpus than to the trusted target.
+#: Standard deviations below the mean score of trusted texts at which the verdict cuts: by Chebyshev's inequality at most
+#: 1 in 36 of texts like them falls below, whatever the distribution.
+SPREADS = 6.0
+#: Nats per n-gram for the cut where fewer than two trusted texts give no spread.
 THRESHOLD = -0.2
 #: Fixed rules of the base verdict.
 MIN_WORDS, MAX_REPEATED_PERCENT, SYMBOLS = 10, 20, "#*$%&|<>"
@@ -32,24 +35,48 @@ def _hashed(text: Column, keep: list[Column], docs: DataFrame) -> DataFrame:
     return d.select(*[F.col(c) for c in d.columns], F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """ln(p_target / p_raw) of each bucket; p_raw of all of ``docs``, p_target of those in ``trusted(doc_id)``.
+def _trusted(trusted: DataFrame) -> DataFrame:
+    return small_side(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("trusted", F.lit(1)))
 
-    Each bucket gets PRIOR n-grams more, in the target its share of them, so that rare ones say little.
+
+def _mean_ratio(ratio: list[float]) -> Column:
+    """The mean of ``ratio`` over the words and pairs of ``h, n``; 0 without words."""
+    table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
+    total = F.aggregate(_buckets(F.col("h"), F.col("n"), len(ratio)), F.lit(0.0), lambda s, b: s + F.get(table, b))
+    return F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0))
+
+
+def fit_ratio(docs: DataFrame, ids: DataFrame, buckets: int = BUCKETS) -> tuple[list[float], list[float]]:
+    """ln(p_target / p_raw) of each bucket; p_raw of all of ``docs``, p_target of those in ``ids(doc_id, trusted)``.
+
+    The second list has the same with one n-gram of each bucket's target taken off: what a trusted text would meet
+    if it were not trusted. Each bucket gets PRIOR n-grams more, in the target its share of them, so that rare ones say little.
 
     One pass over the texts, in which each task sends a row a bucket at most. The driver gets ``buckets`` rows.
     """
-    ids = small_side(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("trusted", F.lit(1)))
     rows = docs.select("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left")
     h = _hashed(F.col("text"), [F.coalesce("trusted", F.lit(0)).alias("t")], rows)
     counts = h.select("t", F.explode(_buckets(F.col("h"), F.col("n"), buckets)).alias("b")).groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
     total = {r.b: (r.raw, r.target) for r in counts.collect()}
     raw, target = sum(x for x, _ in total.values()), sum(x for _, x in total.values())
     if not target:
-        return [0.0] * buckets
+        return [0.0] * buckets, [0.0] * buckets
     share = target / raw
     of = [total.get(b, (0, 0)) for b in range(buckets)]
-    return [math.log((t + PRIOR * share) / (r + PRIOR)) - math.log(share) for r, t in of]
+    log = lambda r, t: math.log((t + PRIOR * share) / (r + PRIOR)) - math.log(share)
+    return [log(r, t) for r, t in of], [log(r, max(t - 1, 0)) for r, t in of]
+
+
+def fit_threshold(docs: DataFrame, ids: DataFrame, held: list[float]) -> float:
+    """SPREADS standard deviations below the mean of what trusted texts would score if they were not trusted.
+
+    Scores shrink as more n-grams share a bucket, and their spread with them, so the cut follows the corpus's size.
+    Texts of fewer than MIN_WORDS words, which fail anyway, have no say. One row reaches the driver.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
+    scored = _hashed(F.col("text"), [], rows).where(F.col("n") >= MIN_WORDS).select(_mean_ratio(held).alias("llr"))
+    mean, spread = scored.agg(F.avg("llr"), F.stddev("llr")).first()
+    return THRESHOLD if spread is None else mean - SPREADS * spread
 
 
 def base_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -85,18 +112,20 @@ def base_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, llr, base_failed, kept`` of each row.
 
     llr is the sum of ln(p_target / p_raw) over the text's hashed words and word pairs, over their number (0 for a
     text of no words, and everywhere if no document is trusted). A document is kept if it passes the base rules
-    (at least 10 words, at most 20 % of them in repeated windows) and its llr is at least ``threshold``. Null texts
-    count as empty; rows of null doc_id and repeated rows are scored like any other; other columns are ignored.
+    (at least 10 words, at most 20 % of them in repeated windows) and its llr is at least ``threshold``, by
+    default that of ``fit_threshold``. Null texts count as empty; rows of null doc_id and repeated rows are scored like any other; other columns are ignored.
     """
-    ratio = F.split(F.lit(",".join(map(repr, fit_ratio(docs, trusted, buckets)))), ",").cast("array<double>")
+    ids = _trusted(trusted)
+    ratio, held = fit_ratio(docs, ids, buckets)
+    if threshold is None:
+        threshold = fit_threshold(docs, ids, held)
     d = base_counts(docs.select("doc_id", "text"), ["doc_id"])
-    total = F.aggregate(_buckets(F.col("h"), F.col("n"), buckets), F.lit(0.0), lambda s, b: s + F.get(ratio, b))
-    d = d.withColumn("llr", F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(F.lit(0.0)))
+    d = d.withColumn("llr", _mean_ratio(ratio))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr", failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept")
