@@ -37,3 +37,15 @@ def test_hosts_vote(spark):
     assert all(got[i] == MAIN for i in (0, 1, 2, 3, 4, 14))
     assert (got[10], got[11], got[12], got[13], got[None]) == ("tiny", "", "x", "", "x")
     assert extract(pages.limit(0)).collect() == []
+
+
+def test_words_of_a_whole_page_do_not_empty_it():
+    own = lambda s: text_under(parse(s), None)
+    for words in ("has-sidebar", "navbar-fixed", "cookies-not-set", "comments-open"):
+        page = f"<html class='{words}'><body class='{words}'><div class='sidebar'>Side</div><main id='{words}'><p>Whole text.</p></main></body></html>"
+        assert own(page) == "Whole text."
+    skip, ad, share = "<a href='#x'>Skip to content</a>", "<div class='ad'>Buy now</div>", "<div class='share'>Share</div>"
+    assert own(f"<body>{ad}<article class='post ad-free'><p>The only text of the page.</p>{share}</article></body>") == "The only text of the page."
+    assert own(f"<body>{skip}<div class='with-ads has-sidebar sidebar'><nav>Menu</nav>{ad}<div id='comments-open comments'><p>Deep text here.</p>{share}</div></div>").endswith("Deep text here.")
+    assert own("<body><nav>Menu</nav><div class='ad'><form>Send</form></div></body>") == ""
+    assert own("<div class='menu'>" * 3000 + "deep" + "</div>" * 3000) == "deep"

@@ -29,6 +29,8 @@ BOILERPLATE_WORDS = re.compile(
     r"|comment\w*|disqus\w*|respon[ds]\w*|reply|replies|cookie\w*|consent\w*|notice\w*|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|legal|copyright|complementary|contentinfo|navigation)(?=$|[\s_-])",
     re.I,
 )
+#: Elements whose words tell of the whole page ("has-sidebar", "comments-open"), not of what they are.
+WHOLE = {"html", "body", "main"}
 #: Elements that end a block of text. Void ones have no end tag.
 BLOCKS = CONTAINERS | BOILERPLATE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "pre", "hr", "figure", "figcaption", "address", "thead", "tfoot", "th", "caption", "details", "summary", "hgroup", "option", "legend"}
 STRUCTURE = CONTAINERS | BOILERPLATE | {"ul", "ol", "dl", "li", "figure", "thead", "tfoot", "th", "details"}
@@ -44,6 +46,7 @@ class Node:
     path: str
     junk: bool
     parent: int
+    worded: bool = False
     links: int = 0
     chars: int = 0
     text: int = 0
@@ -57,14 +60,42 @@ class Page:
 
 
 def _step(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's step of a path, digits left out, and whether it is boilerplate."""
+    """The element's step of a path, digits left out, and whether its words say boilerplate."""
     found = {}
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
             found.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
-    junk = tag in BOILERPLATE or any(BOILERPLATE_WORDS.search(v) for v in found.values())
+    worded = tag not in WHOLE and any(BOILERPLATE_WORDS.search(v) for v in found.values())
     classes = sorted({re.sub(r"\d+", "", c) for c in found.get("class", "").split()} - {""})
-    return ".".join([tag, *classes]), junk
+    return ".".join([tag, *classes]), worded
+
+
+def _relent(page: Page) -> None:
+    """Where nothing but links is clean, the word rule has hit the main text: it is lifted where most text is.
+
+    Of the outermost elements that words mark, the one with most text less links becomes clean, and so on inside it
+    until there is text; what words mark elsewhere stays boilerplate. Each node is visited once.
+    """
+    if any(n.chars > n.links for n in page.nodes if not n.junk) or not any(n.worded for n in page.nodes):
+        return
+    inside: list[list[int]] = [[] for _ in page.nodes]
+    text = [n.chars - n.links for n in page.nodes]
+    for i in range(len(page.nodes) - 1, 0, -1):
+        n = page.nodes[i]
+        if n.tag not in BOILERPLATE:
+            inside[n.parent].append(i)
+            text[n.parent] += text[i]
+    at = 0
+    while text[at] > 0:
+        open_, marked, found = [at], [], False
+        while open_:
+            n = page.nodes[i := open_.pop()]
+            n.junk, found = False, found or n.chars > n.links
+            for k in inside[i]:
+                (marked if page.nodes[k].worded else open_).append(k)
+        if found:
+            return
+        at = min(marked, key=lambda k: (-text[k], k))
 
 
 def parse(source: str) -> Page:
@@ -123,12 +154,13 @@ def parse(source: str) -> Page:
         elif not m[0].endswith("/>"):
             if tag == "li" and page.nodes[stack[-1]].tag == "li":
                 stack.pop()
-            step, junk = _step(tag, attributes)
+            step, worded = _step(tag, attributes)
             up = page.nodes[stack[-1]]
-            page.nodes.append(Node(tag, f"{up.path}>{step}", junk or up.junk, stack[-1]))
+            page.nodes.append(Node(tag, f"{up.path}>{step}", worded or tag in BOILERPLATE or up.junk, stack[-1], worded))
             stack.append(len(page.nodes) - 1)
     pieces.append(source[at:])
     flush()
+    _relent(page)
     return page
 
 
