@@ -41,3 +41,11 @@ def test_rerun_empty_and_repeated_rows(spark):
     first, again = (sorted(map(tuple, mix(d).select("doc_id", "size", "taken").collect()), key=str) for d in (docs, docs.repartition(3)))
     assert first == again
     assert mix(docs.limit(0)).collect() == []
+
+
+def test_long_documents_do_not_end_a_source(spark):
+    sizes = [5000] * 5 + [20] * 400
+    docs = spark.createDataFrame([(d, "w " * n, "a") for d, n in enumerate(sizes)], "doc_id long, text string, source string").repartition(3)
+    got = mix(docs, share=0.5).collect()
+    assert abs(sum(x.taken for x in got) - 0.5 * sum(sizes)) <= 0.01 * 0.5 * sum(sizes)
+    assert all(x.copies <= 1 for x in got)

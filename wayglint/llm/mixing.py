@@ -14,6 +14,8 @@ from .common import materialize, small_side, words_of
 RANK_BITS, STEP_BITS = 52, 12
 #: Documents at most that close the gap between a source's ordered sample and its target.
 CLOSING = 3
+#: Share of its target by which a source may miss it before its order goes on past documents that do not fit.
+MISS = 0.01
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -74,12 +76,37 @@ def _cuts(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return last.select("src", top.alias("cut_rank"), F.coalesce(F.when(F.col("bin").isNotNull(), F.col("m.id")), F.lit((1 << 63) - 1)).alias("cut_id"))
 
 
+def _fill(rows: DataFrame, gaps: DataFrame) -> DataFrame:
+    """``src, gap, fill``: what is left of each source's ``gap`` when its order goes on after ``(cut_rank, cut_id)``
+    past documents that do not fit, until none is left to try, and the stretches ``(after, upto, most)`` of that
+    order in which all documents of at most ``most`` words are taken. A round finds one stretch of every source.
+    """
+    at, key = "struct<rank:bigint,id:bigint>", F.struct("rank", "id")
+    cut = F.struct(F.col("cut_rank").alias("rank"), F.col("cut_id").alias("id"))
+    fill = F.array().cast(f"array<struct<after:{at},upto:{at},most:double>>")
+    state = gaps.select("src", F.col("gap").cast("double").alias("gap"), cut.alias("after"), fill.alias("fill"))
+    while True:
+        state = materialize(state, "fill")
+        going = state.where("after is not null and gap > 0").select("src", "gap", "after")
+        if going.isEmpty():
+            return state.select("src", "gap", "fill")
+        fitting = rows.join(small_side(going), "src").where((key > F.col("after")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))).select("src", "id", "size", "rank")
+        cuts = _cuts(fitting, going.select("src", F.col("gap").alias("budget"))).select("src", cut.alias("upto"))
+        inside = key <= F.col("upto")
+        sums = fitting.join(small_side(cuts), "src").groupBy("src").agg(F.sum(F.when(inside, F.col("size"))).alias("words"), F.min(F.when(~inside, key)).alias("next"))
+        step = F.array(F.struct("after", "upto", F.col("gap").alias("most")))
+        state = state.join(cuts, "src", "left").join(sums, "src", "left").select(
+            "src", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap"), F.col("next").alias("after"), F.when(F.col("words") > 0, F.concat("fill", step)).otherwise(F.col("fill")).alias("fill")
+        )
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies, taken``: how often the mix takes each document.
 
     Every document of a source gets the whole copies in target / source_size. The words still wanted are a Pareto
     order sample: documents by random odds over preferred odds (in proportion to the root of the size), taken
-    whole as long as the words fit, and then up to three documents whose sizes close the rest best. A document is
+    whole as long as the words fit, and then up to three documents whose sizes close the rest best. Where that misses
+    the target by over MISS, the order goes on past documents that do not fit, if that ends nearer. A document is
     taken at most whole copies + 1 times, which is within ``most``, rounded up. The random number is a digest of
     the seed and doc_id, so reruns agree, however the rows lie.
 
@@ -106,18 +133,25 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     one = F.struct("rank", "id", "size")
     empty = F.array().cast("array<struct<rank:bigint,id:bigint,size:bigint>>")
     left = cuts.join(targets, "src").join(sums, "src", "left").select("src", (F.col("budget") - F.coalesce("words", F.lit(0))).alias("gap"), empty.alias("closing"))
+    left = first = materialize(left, "gaps")
     for _ in range(CLOSING):
-        left = materialize(left, "gaps")
         fitting = judged.where("not in_sample and size > 0").join(small_side(left), "src").withColumn("off", F.abs(F.col("gap") - F.col("size")))
         fitting = fitting.where("off < gap").where(~F.array_contains("closing", one))
         best = fitting.groupBy("src").agg(F.min(F.struct("off", "rank", "id", "size")).alias("m"))
         found = F.array(F.struct("m.rank", "m.id", "m.size"))
         left = left.join(best, "src", "left").select("src", (F.col("gap") - F.coalesce("m.size", F.lit(0))).alias("gap"), F.when(F.col("m").isNotNull(), F.concat("closing", found)).otherwise(F.col("closing")).alias("closing"))
-    fates = materialize(targets.join(cuts, "src", "left").join(left.select("src", "closing"), "src", "left").drop("source"), "fates")
+        left = materialize(left, "gaps")
+    missed = left.join(targets.select("src", "target"), "src").where(F.abs("gap") > F.col("target") * MISS).select("src")
+    filled = _fill(rows, first.select("src", "gap").join(missed, "src").join(cuts, "src")).withColumnRenamed("gap", "fill_gap")
+    nearer = F.coalesce(F.abs("fill_gap") < F.abs("gap"), F.lit(False))
+    left = left.join(filled, "src", "left").select("src", F.when(nearer, empty).otherwise(F.col("closing")).alias("closing"), F.when(nearer, F.col("fill")).alias("fill"))
+    fates = materialize(targets.join(cuts, "src", "left").join(left, "src", "left").drop("source"), "fates")
 
     kept = [c for c in docs.columns if c.lower() not in new]
     d = docs.select(*[F.col(f"`{c}`") for c in kept], src.alias("src"), low.alias("id"), size.alias("size"), _rank(F.col("doc_id"), size, seed).alias("rank"))
-    extra = (F.struct("rank", "id") <= F.struct("cut_rank", "cut_id")) | F.array_contains("closing", one)
+    at = F.struct("rank", "id")
+    filling = F.exists("fill", lambda x: (at > x["after"]) & (at <= x["upto"]) & (F.col("size") > 0) & (F.col("size") <= x["most"]))
+    extra = (at <= F.struct("cut_rank", "cut_id")) | F.coalesce(F.array_contains("closing", one), F.lit(False)) | F.coalesce(filling, F.lit(False))
     d = d.join(small_side(fates), "src").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
     return d.withColumn("taken", F.col("copies") * F.col("size")).select(*[F.col(f"`{c}`") for c in kept], *new)
 
