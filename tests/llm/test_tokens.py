@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from wayglint.llm import tokens
 from wayglint.llm.tokens import Encoder, from_planes, read_tokens, to_planes, token_digests, write_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,9 +14,21 @@ PIECES = ["a", "B", " ", "  ", "\n", "\t", "\x85", "\xa0", chr(0x2003), chr(0x30
 
 def test_encoder_equals_the_library():
     r, library, encode = random.Random(1), Tokenizer.from_file(PATH), Encoder(PATH)
-    for _ in range(20_000):
-        t = "".join(r.choices(PIECES, k=r.randint(0, 12)))
-        assert np.frombuffer(encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    for _ in range(400):
+        texts = ["".join(r.choices(PIECES, k=r.randint(0, 12))) for _ in range(49)]
+        texts.append("".join([*r.choices(["a", "Bc", "é", "'s", "1", "23!"], k=5), *r.choices([" x", "\ny", " 2\n", "\n"], k=r.randint(0, 4))]))
+        for t, ids in zip(texts, encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert encode([]) == []
+
+
+def test_encoder_forgets_in_bounds(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    r, library, encode = random.Random(3), Tokenizer.from_file(PATH), Encoder(PATH)
+    for _ in range(40):
+        texts = [" ".join(f"w{r.randint(0, 60)}" for _ in range(12)) for _ in range(3)]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encode.known) <= 20 + 36
 
 
 def test_planes_round_trip():

@@ -21,10 +21,10 @@ from .common import bounded_batches, shared_path
 WHITE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Cuts that the tokenizer makes anyway: before the single space that leads a run, and round white space.
 RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: White space of more than one character.
-DOUBLE = re.compile(f"[{WHITE}][{WHITE}]")
-#: Runs whose ids a worker remembers (about 200 bytes each).
-REMEMBERED = 1_200_000
+#: A word alone, or behind one line end: what a text of single spaces and line ends falls into.
+PLAIN = re.compile(f"\n?[^{WHITE}]+")
+#: Words whose ids a worker remembers (about 200 bytes each), and words encoded in one string.
+REMEMBERED, TOGETHER = 1_200_000, 500
 
 BLOCK_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
@@ -40,7 +40,11 @@ BLOCK_SCHEMA = T.StructType([
 ])
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library; ids of a run of non-white characters are remembered."""
+    """Ids of whole texts by the tokenizers library, which sees each new word once; a worker remembers a word's ids.
+
+    A text of single spaces and line ends is cut at its spaces and before its line ends. A piece that starts with a
+    line end stands for that and a word, any other for a space and a word, so that pieces are keys as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,44 +52,54 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line_end = self._ids("\n")
+        line_end = self._ids(["\n"])[0]
+        self.line_end = int(line_end[0]) if len(line_end) == 1 else None
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, runs: list[str]) -> None:
-        """Encodes new runs in one call, a line each if they have no line ends of their own: the line end's id parts them."""
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Remembers the ids of new plain pieces, many in one string: each brings a line end, whose id parts them."""
+        groups = [new[i : i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+        lines = ["".join([p if p[0] == "\n" else "\n " + p for p in g]) for g in groups]
+        for group, ids in zip(groups, self._ids(lines), strict=True):
+            starts = np.flatnonzero(ids == self.line_end).tolist()
+            if len(starts) == len(group):
+                data = ids.tobytes()
+                for p, a, z in zip(group, starts, [*starts[1:], len(ids)], strict=True):
+                    self.known[p] = data[4 * a + 4 * (p[0] != "\n") : 4 * z]
+            else:
+                for p, own in zip(group, self._ids([p if p[0] == "\n" else " " + p for p in group]), strict=True):
+                    self.known[p] = own.tobytes()
+
+    def _by_runs(self, texts: list[str]) -> list[bytes]:
+        """Texts with other white space, run by run, each different run once in one call."""
+        runs = [RUNS.findall(t) for t in texts]
+        different = list({r for found in runs for r in found})
+        ids = {r: own.tobytes() for r, own in zip(different, self._ids(different), strict=True)}
+        return [b"".join([ids[r] for r in found]) for found in runs]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        out: list[bytes | None] = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if self.line_end is None or any(s in t for s in self.special)]
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
+            out[i] = ids.tobytes()
+        pieces = {i: ("\n" + t).replace("\n", " \n").split(" ")[1:] for i, t in enumerate(texts) if t and out[i] is None}
+        seen = set().union(*pieces.values())
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({r for r in runs if r not in self.known})
-        plain = [r for r in new if len(self.line_end) == 1 and not any(c in WHITE for c in r[1:])]
-        if plain:
-            ids = self._ids("\n".join(plain) + "\n")
-            ends = np.flatnonzero(ids == self.line_end[0])
-            if len(ends) == len(plain):
-                for r, a, z in zip(plain, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
-                    self.known[r] = ids[a:z].tobytes()
-        for r in new:
-            if r not in self.known:
-                self.known[r] = self._ids(r).tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if any(s in text for s in self.special):
-            return self._ids(text).tobytes()
-        if not text:
-            return b""
-        if text[0] in WHITE or text[-1] in WHITE or DOUBLE.search(text):
-            runs = RUNS.findall(text)
-        else:
-            first, *rest = text.split(" ")
-            runs = [first, *[" " + r for r in rest]]
-        try:
-            return b"".join([self.known[r] for r in runs])
-        except KeyError:
-            self._learn(runs)
-            return b"".join([self.known[r] for r in runs])
+            self.known = {p: self.known[p] for p in seen if p in self.known}
+        self._learn([p for p in seen if p not in self.known and PLAIN.fullmatch(p)])
+        odd = []
+        for i, found in pieces.items():
+            try:
+                out[i] = b"".join(map(self.known.__getitem__, found))[4:]  # less the line end put in front
+            except KeyError:
+                odd.append(i)
+        for i, ids in zip(odd, self._by_runs([texts[i] for i in odd]), strict=True):
+            out[i] = ids
+        return [ids or b"" for ids in out]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -180,8 +194,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         out = _Blocks(TaskContext.get().partitionId(), block, kind)
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for row in out.add(doc_id, encode(text.as_py()) + end):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
+                for row in out.add(doc_id, ids + end):
                     yield pa.RecordBatch.from_pylist([row], _ARROW_BLOCKS)
         if out.n:
             yield pa.RecordBatch.from_pylist([out.close()], _ARROW_BLOCKS)
