@@ -23,8 +23,8 @@ WHITE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0
 RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: A word alone, or behind one line end: what a text of single spaces and line ends falls into.
 PLAIN = re.compile(f"\n?[^{WHITE}]+")
-#: Words whose ids a worker remembers (about 200 bytes each), and words encoded in one string.
-REMEMBERED, TOGETHER = 1_200_000, 500
+#: Words whose ids a worker remembers (about 200 bytes each), words encoded in one string, and characters cut at once.
+REMEMBERED, TOGETHER, AT_ONCE = 1_200_000, 50, 4_000_000
 
 BLOCK_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
@@ -80,8 +80,18 @@ class Encoder:
         ids = {r: own.tobytes() for r, own in zip(different, self._ids(different), strict=True)}
         return [b"".join([ids[r] for r in found]) for found in runs]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        group, held = [], 0
+        for t in texts:
+            group.append(t)
+            held += len(t)
+            if held >= AT_ONCE:
+                yield from self._encode(group)
+                group, held = [], 0
+        yield from self._encode(group)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if self.line_end is None or any(s in t for s in self.special)]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
