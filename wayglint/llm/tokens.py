@@ -55,6 +55,7 @@ class Encoder:
         line_end = self._ids(["\n"])[0]
         self.line_end = int(line_end[0]) if len(line_end) == 1 else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words of the generation before, each kept on if it comes up again
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -98,9 +99,11 @@ class Encoder:
             out[i] = ids.tobytes()
         pieces = {i: ("\n" + t).replace("\n", " \n").split(" ")[1:] for i, t in enumerate(texts) if t and out[i] is None}
         seen = set().union(*pieces.values())
-        if len(self.known) > REMEMBERED:
-            self.known = {p: self.known[p] for p in seen if p in self.known}
-        self._learn([p for p in seen if p not in self.known and PLAIN.fullmatch(p)])
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        missing = seen.difference(self.known)
+        self.known.update({p: self.older[p] for p in missing if p in self.older})
+        self._learn([p for p in missing if p not in self.known and PLAIN.fullmatch(p)])
         odd = []
         for i, found in pieces.items():
             try:
