@@ -6,8 +6,10 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,36 +22,47 @@ ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)
 #: Elements whose content is no markup.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "xmp", "math", "object", "canvas"}
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
-#: Elements that may hold the main text.
+#: Elements that may hold the main text, and those that say that they do.
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table", "tbody", "tr", "center", "blockquote"}
-#: Elements that are never part of it, and words of class, id or role that say the same.
+MAIN = {"article", "main"}
+#: Elements that are never part of it; a header inside of MAIN holds the headline and stays.
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "head"}
-BOILERPLATE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumb\w*|header|masthead|footer|sidebar\w*|side-bar|aside|widget\w*"
-    r"|comment\w*|disqus\w*|respon[ds]\w*|reply|replies|cookie\w*|consent\w*|notice\w*|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|legal|copyright|complementary|contentinfo|navigation)(?=$|[\s_-])",
-    re.I,
+#: What a class, id or role calls boilerplate when it is the compound's head, as in "cookie-banner" but not "legal-news",
+#: reader comments apart; and words that only shape or place it, as in "ad-container".
+BOILERPLATE_HEADS = set(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs"
+    " masthead footer sidebar side aside widget widgets cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login search share sharing social related"
+    " recommended recommendations pagination pager toolbar copyright imprint complementary contentinfo header".split()
 )
+COMMENT_HEADS = set("comment comments disqus respond response responses reply replies".split())
+SHAPE_WORDS = set("container wrapper wrap box block list area left right top bottom inner outer section item items bar thread form panel links posts stories buttons region zone unit slot".split())
 #: Elements whose words tell of the whole page ("has-sidebar", "comments-open"), not of what they are.
-WHOLE = {"html", "body", "main"}
+WHOLE = {"html", "body"} | MAIN
+#: Share of a container's text that one inside must hold to stand for it, less if it is one of MAIN.
+HELD, HELD_BY_MAIN = 0.9, 0.5
 #: Elements that end a block of text. Void ones have no end tag.
 BLOCKS = CONTAINERS | BOILERPLATE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "pre", "hr", "figure", "figcaption", "address", "thead", "tfoot", "th", "caption", "details", "summary", "hgroup", "option", "legend"}
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 STRUCTURE = CONTAINERS | BOILERPLATE | {"ul", "ol", "dl", "li", "figure", "thead", "tfoot", "th", "details"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SPACE = re.compile(r"\s+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
-    """An open or closed structural element: its generalised path, and the text of its own blocks so far."""
+    """A structural element: a hash of its generalised path, what marks it, and the characters of its own blocks."""
 
     tag: str
-    path: str
-    junk: bool
+    path: int
     parent: int
-    worded: bool = False
+    hard: bool = False
+    worded: str = ""
+    in_main: bool = False
+    junk: bool = False
     links: int = 0
     chars: int = 0
-    text: int = 0
+    prose: int = 0
 
 
 @dataclass
@@ -59,43 +72,72 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
 
-def _step(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's step of a path, digits left out, and whether its words say boilerplate."""
-    found = {}
-    if attributes:
-        for m in ATTRIBUTE.finditer(attributes):
-            found.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
-    worded = tag not in WHOLE and any(BOILERPLATE_WORDS.search(v) for v in found.values())
+def _head(token: str) -> str:
+    """The word that a compound is about: "comment" of "comment-list", "news" of "legalNews"."""
+    words = WORD.findall(token)
+    while words and (len(words[-1]) == 1 or words[-1].lower() in SHAPE_WORDS):
+        words.pop()
+    return words[-1].lower() if words else ""
+
+
+@lru_cache(1 << 14)
+def _step(tag: str, attributes: str) -> tuple[str, str]:
+    """The element's step of a path, digits left out, and the boilerplate that its words name, if any."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
+    heads = {_head(t) for v in found.values() for t in v.split()} if tag not in WHOLE else set()
+    named = "comment" if heads & COMMENT_HEADS else next(iter(sorted(heads & BOILERPLATE_HEADS, key=lambda h: h == "header")), "")
     classes = sorted({re.sub(r"\d+", "", c) for c in found.get("class", "").split()} - {""})
-    return ".".join([tag, *classes]), worded
+    return ".".join([tag, *classes]), named
+
 
+def path_hash(parent: int, step: str) -> int:
+    """Names a path by its parent's name and its last step, so that deep pages take no more room than flat ones."""
+    return xxhash.xxh64_intdigest(f"{parent}>{step}") >> 1
 
-def _relent(page: Page) -> None:
-    """Where nothing but links is clean, the word rule has hit the main text: it is lifted where most text is.
 
-    Of the outermost elements that words mark, the one with most text less links becomes clean, and so on inside it
-    until there is text; what words mark elsewhere stays boilerplate. Each node is visited once.
+def _mark(page: Page) -> None:
+    """Sets ``junk``: what tags or words mark, and all inside of it.
+
+    Words can err. If no MAIN holds text, an element that words mark (but for comments) is no boilerplate if it has
+    three quarters of the page's text or more. If the page has no MAIN and nothing but links is clean, of the
+    outermost elements that words mark the one with most text is none, and so on inside of it until there is text.
     """
-    if any(n.chars > n.links for n in page.nodes if not n.junk) or not any(n.worded for n in page.nodes):
+    nodes = page.nodes
+
+    def junk() -> bool:
+        clean = False
+        for n in nodes:
+            n.junk = n.hard or bool(n.worded) or (n.parent >= 0 and nodes[n.parent].junk)
+            clean |= not n.junk and n.chars > n.links
+        return clean
+
+    clean = junk()
+    if any(n.tag in MAIN and not n.junk for n in nodes) or not any(n.worded for n in nodes):
         return
-    inside: list[list[int]] = [[] for _ in page.nodes]
-    text = [n.chars - n.links for n in page.nodes]
-    for i in range(len(page.nodes) - 1, 0, -1):
-        n = page.nodes[i]
-        if n.tag not in BOILERPLATE:
-            inside[n.parent].append(i)
-            text[n.parent] += text[i]
-    at = 0
-    while text[at] > 0:
-        open_, marked, found = [at], [], False
+    text = [n.chars - n.links for n in nodes]
+    inside: list[list[int]] = [[] for _ in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        if not nodes[i].hard:
+            inside[nodes[i].parent].append(i)
+            text[nodes[i].parent] += max(text[i], 0)
+    for i, n in enumerate(nodes):
+        if n.worded and n.worded != "comment" and not n.hard and 4 * text[i] >= 3 * text[0] > 0:
+            n.worded = ""
+    clean, at = junk(), 0
+    while not clean and text[at] > 0:
+        open_, marked = [at], []
         while open_:
-            n = page.nodes[i := open_.pop()]
-            n.junk, found = False, found or n.chars > n.links
+            i = open_.pop()
+            nodes[i].worded = ""
+            clean |= nodes[i].chars > nodes[i].links
             for k in inside[i]:
-                (marked if page.nodes[k].worded else open_).append(k)
-        if found:
-            return
+                (marked if nodes[k].worded else open_).append(k)
+        if clean or not marked:
+            break
         at = min(marked, key=lambda k: (-text[k], k))
+    junk()
 
 
 def parse(source: str) -> Page:
@@ -104,11 +146,11 @@ def parse(source: str) -> Page:
     White space inside a block becomes one space, character references are decoded once, after markup is cut.
     An unclosed element ends with the structural element around it; what is open at the end of the page ends there.
     """
-    page = Page([Node("", "", False, -1)])
-    stack, pieces, in_link, linked = [0], [], False, 0
+    page = Page([Node("", 0, -1)])
+    stack, pieces, in_link, linked, prose = [0], [], False, 0, False
 
-    def flush() -> None:
-        nonlocal linked
+    def flush(opened: str = "") -> None:
+        nonlocal linked, prose
         if pieces:
             text = SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             pieces.clear()
@@ -117,7 +159,8 @@ def parse(source: str) -> Page:
                 node = page.nodes[stack[-1]]
                 node.chars += len(text)
                 node.links += min(linked, len(text))
-        linked = 0
+                node.prose += prose and len(text)
+        linked, prose = 0, opened in PROSE
 
     at = 0
     while m := MARKUP.search(source, at):
@@ -143,7 +186,7 @@ def parse(source: str) -> Page:
             continue
         if tag not in BLOCKS:
             continue
-        flush()
+        flush("" if closing else tag)
         if tag not in STRUCTURE:
             continue
         if closing:
@@ -154,53 +197,80 @@ def parse(source: str) -> Page:
         elif not m[0].endswith("/>"):
             if tag == "li" and page.nodes[stack[-1]].tag == "li":
                 stack.pop()
-            step, worded = _step(tag, attributes)
+            if tag == "body" and page.nodes[stack[-1]].tag == "head":
+                stack.pop()
+            step, named = _step(tag, attributes)
             up = page.nodes[stack[-1]]
-            page.nodes.append(Node(tag, f"{up.path}>{step}", worded or tag in BOILERPLATE or up.junk, stack[-1], worded))
+            named = "" if named == "header" and up.in_main else named
+            hard = tag in BOILERPLATE and not (tag == "header" and up.in_main)
+            page.nodes.append(Node(tag, path_hash(up.path, step), stack[-1], hard, named, up.in_main or tag in MAIN))
             stack.append(len(page.nodes) - 1)
     pieces.append(source[at:])
     flush()
-    _relent(page)
+    _mark(page)
     return page
 
 
-def scores(page: Page) -> dict[str, float]:
-    """For each path, how well its first container on the page serves as the main one.
+def _sums(page: Page) -> list[int]:
+    """Clean text less links, of each node with all inside of it."""
+    out = [0 if n.junk else n.chars - 2 * n.links for n in page.nodes]
+    for i in range(len(out) - 1, 0, -1):
+        if not page.nodes[i].junk:
+            out[page.nodes[i].parent] += out[i]
+    return out
+
+
+def best_node(page: Page) -> int | None:
+    """The page's main container, or none if it has no clean text.
 
-    A container scores the text of clean blocks directly under it or under clean wrappers, less its links, with a
-    small bonus for tags that say so; a wrapper that adds nothing to a container inside it loses to that one.
+    From the page down to the container inside that holds nearly all its text less links (half for one of MAIN), as
+    long as there is one. An article is not left, nor any other container but the page's body that has headings or
+    paragraphs of its own. So a wrapper of the main text and little else loses to it, and a link list counts against
+    whatever is around it.
     """
-    clean, links = [0] * len(page.nodes), [0] * len(page.nodes)
-    for i in range(len(page.nodes) - 1, -1, -1):
-        n = page.nodes[i]
-        if not n.junk:
-            clean[i] += n.chars
-            links[i] += n.links
-            if n.parent >= 0:
-                clean[n.parent] += clean[i]
-                links[n.parent] += links[i]
-    out: dict[str, float] = {}
-    for i, n in enumerate(page.nodes):
-        if (i == 0 or n.tag in CONTAINERS) and not n.junk and clean[i]:
-            bonus = 1.25 if n.tag in ("article", "main") or re.search(r"[.-](?:content|article|post|entry|story|main)(?=$|[.>_-])", n.path.rpartition(">")[2]) else 1.0
-            out[n.path] = max(out.get(n.path, 0.0), (clean[i] - links[i]) * bonus - 0.001 * clean[i] / (1 + n.path.count(">")))
-    return out
+    nodes, sums = page.nodes, _sums(page)
+    if not any(n.chars and not n.junk for n in nodes):
+        return None
+    holder, inside = [0] * len(nodes), [[] for _ in nodes]
+    for i, n in enumerate(nodes[1:], 1):
+        if n.tag in CONTAINERS and not n.junk:
+            inside[holder[n.parent]].append(i)
+            holder[i] = i
+        else:
+            holder[i] = holder[n.parent]
+    at = 0
+    while inside[at] and nodes[at].tag != "article" and (not nodes[at].prose or nodes[at].tag in ("", "html", "body")):
+        k = max(inside[at], key=lambda i: (sums[i], -i))
+        main = nodes[k].tag in MAIN
+        if not (sums[k] > 0 or main) or (sums[k] < (HELD_BY_MAIN if main else HELD) * sums[at]):
+            break
+        at = k
+    return at
 
 
-def best_path(page: Page) -> str | None:
-    found = scores(page)
-    return min(found, key=lambda p: (-found[p], -p.count(">"), p)) if found else None
+def best_path(page: Page) -> int | None:
+    at = best_node(page)
+    return None if at is None else page.nodes[at].path
 
 
-def text_under(page: Page, path: str | None) -> str:
-    """The clean blocks of all containers on ``path``, in page order, a line each; without any, of the page's own best container."""
-    if path is None or all(n.path != path or n.junk for n in page.nodes):
-        path = best_path(page)
-    if path is None:
+def text_under(page: Page, path: int | None) -> str:
+    """The clean blocks of the container on ``path``, in page order, a line each.
+
+    If that is the path of the page's own main container, it is that one; else all on the path, but for those with
+    less than a tenth of the text of the longest; if none of these has text, the page's own.
+    """
+    nodes, own = page.nodes, best_node(page)
+    if own is None:
         return ""
-    under = [False] * len(page.nodes)
-    for i, n in enumerate(page.nodes):
-        under[i] = not n.junk and (n.path == path or (n.parent >= 0 and under[n.parent]))
+    chosen = {own}
+    if path is not None and nodes[own].path != path:
+        sums = _sums(page)
+        on_path = [i for i, n in enumerate(nodes) if n.path == path and not n.junk and sums[i] > 0]
+        most = max((sums[i] for i in on_path), default=0)
+        chosen = {i for i in on_path if 10 * sums[i] >= most} or {own}
+    under = [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        under[i] = not n.junk and (i in chosen or (n.parent >= 0 and under[n.parent]))
     return "\n".join(t for i, t in page.blocks if under[i])
 
 
@@ -213,10 +283,10 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            best = [best_path(parse(t or "")) or None for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string())], ["host", "path"])
+            best = [best_path(parse(t or "")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.int64())], ["host", "path"])
 
-    found = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(votes, "host string, path string")
+    found = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(votes, "host string, path long")
     counted = found.where("path is not null and host <> ''").groupBy("host", "path").agg(F.count("*").alias("n"))
     return counted.groupBy("host").agg(F.min(F.struct(-F.col("n"), "path")).alias("m")).select("host", "m.path")
 
@@ -224,10 +294,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of each row of ``pages(page_id, url, html)``: the main text by its host's winning path.
 
-    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments inside the
-    container are left out. A page without the winning path, or of no host, uses its own best container; a page
-    without text has an empty one, as have null and empty pages. Repeated rows give repeated rows; other columns
-    are ignored. Votes are counted before they are shuffled, so a host may hold any share of the pages.
+    Menus, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments, and headers outside of an
+    article, are left out wherever tags or the heads of class words name them; what has no name goes by where it
+    stands: the main container is the one that holds nearly all text that is no link. A page without the winning path,
+    or of no host, uses its own main container; a page without text has an empty one, as have null and empty pages.
+    Pages may be of any length and depth. Repeated rows give repeated rows; other columns are ignored. Votes are
+    counted before they are shuffled, so a host may hold any share of the pages.
     """
     bounded_batches(pages.sparkSession)
     paths = materialize(host_paths(pages), "paths")
