@@ -1,9 +1,12 @@
 import random
 
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from wayglint.llm import simhash
 from wayglint.llm.graph import connected_components
-from wayglint.llm.simhash import deduplicate, fingerprint, near_duplicates
+from wayglint.llm.simhash import _split_keys, block_keys, deduplicate, fingerprint, near_duplicates
 
 
 def slow_fingerprint(text):
@@ -58,6 +61,29 @@ def test_matches_brute_force(spark):
     assert got == slow_components(rows)
 
 
+@pytest.mark.parametrize(("blocks", "joined", "split"), [(6, 2, 0), (7, 3, 1 << 60), (8, 4, 0)])
+def test_all_block_choices_give_the_same(spark, monkeypatch, blocks, joined, split):
+    monkeypatch.setattr(simhash, "KEYS", ((1 << 62, blocks, joined),))
+    monkeypatch.setattr(simhash, "SPLIT", split)
+    test_matches_brute_force(spark)
+
+
+def test_split_blocks_lose_no_close_pair(spark):
+    r = random.Random(9)
+    pairs = []
+    for _ in range(500):
+        a = r.getrandbits(64)
+        b = a
+        for bit in r.sample(range(64), r.randint(0, 4)):
+            b ^= 1 << bit
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
+    rows = spark.createDataFrame(pairs, "a long, b long")
+    for _, blocks, joined in simhash.KEYS:
+        keys = lambda x: F.transform(block_keys(F.col(x), blocks, joined), lambda k: F.struct(k["key"].alias("key"), _split_keys(k["key"], k["rest"], blocks, joined, 4).alias("parts")))  # noqa: B023, E731
+        shared = F.exists(keys("a"), lambda k: F.exists(keys("b"), lambda m: (k["key"] == m["key"]) & F.arrays_overlap(k["parts"], m["parts"])))
+        assert rows.where(shared).count() == len(pairs)
+
+
 def test_fingerprint_of_odd_texts():
     for t in (None, "", " ", "a", "a b c", "a b c d", "A\x0bB  c d e f g", "ß " * 900):
         assert fingerprint(t) == slow_fingerprint(t)
@@ -70,6 +96,17 @@ def test_empty_table_and_dedup(spark):
     kept = deduplicate(docs)
     assert kept.columns == docs.columns
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["2", "7", "None"]
+    near = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, near, "a"), (5, "a text of its own under the same id", "b"), (9, near + " end", "c"), (5, near, "d"), (12, "a text of its own under the same id", "e")]
+    results = []
+    for order in (rows, rows[::-1]):
+        kept = deduplicate(spark.createDataFrame(order, schema).repartition(3)).collect()
+        results.append(sorted(map(tuple, kept)))
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, near), (5, "a text of its own under the same id")])
+    assert results[0] == results[1]
+    clash = docs.withColumns({"fp": F.lit(1), "component": F.lit("c"), "text_hash": F.lit(None).cast("string"), "_id": F.create_map(F.lit("k"), F.lit(1))})
+    assert deduplicate(clash).columns == clash.columns and deduplicate(clash).count() == 3
+    assert deduplicate(docs.limit(0)).collect() == []
 
 
 def test_components_of_a_path_and_a_star(spark):

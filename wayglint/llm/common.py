@@ -38,20 +38,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` as a table in the shared folder and reads it back."""
+def materialize(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
+    """Cuts the lineage: writes ``df`` as a table in the shared folder and reads it back.
+
+    ``instead_of``, a table written before that nothing but ``df`` reads any more, is deleted then.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if instead_of is not None and (old := (spark, getattr(instead_of, "_written_to", None))) in _written:
+        _delete(*old)
+        _written.remove(old)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @atexit.register
 def _remove_written() -> None:
     for spark, path in _written:
         try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # the session has ended; its shared folder is the cluster's to clear
             return
 
@@ -61,6 +73,16 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", ways: int = 16) -> DataFrame:
+    """Joins on ``key``, of which ``left`` may have any number of rows: they are dealt ``ways`` ways by a hash of ``by``.
+
+    ``right`` has one row a key, and is repeated that many times.
+    """
+    salt = F.pmod(F.xxhash64(F.lit(7), by), F.lit(ways)).cast("int")
+    many = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    return left.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
+
+
 def bounded_batches(spark: SparkSession, megabytes: int = 32) -> None:
     """Bounds the Arrow batches that go to Python by size, so that long texts don't add up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", megabytes << 20)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Edges up to which one task takes them all (16 bytes each); beyond it rounds of stars do.
-SMALL_EDGES = 500_000
+#: Edges up to which one task takes them all, in about 70 MB; beyond it rounds of stars do. The number is fixed, so that
+#: task stays as small whatever the table; it spares the many jobs of the rounds, which cost the driver memory.
+SMALL_EDGES = 200_000
 
 
 def _downward(edges: DataFrame) -> DataFrame:
@@ -67,6 +68,6 @@ def connected_components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFram
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = materialize(_small_star(_large_star(now)), "edges")
+        now = materialize(_small_star(_large_star(now)), "edges", instead_of=now)
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
