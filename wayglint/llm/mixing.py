@@ -40,12 +40,52 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     return t.select("src", "source", "source_size", target.alias("target"))
 
 
-def _rank(doc_id: Column, size: Column, seed: int) -> Column:
+def _told_apart(docs: DataFrame, low: Column) -> DataFrame:
+    """``docs`` as ``row``, a struct, with ``tie``: empty, or what tells rows apart that share a doc_id or have none.
+
+    Such rows get the hash of their columns, and equal ones a number besides: they are grouped with their count and
+    laid out again, in stretches, so that no task holds a group of copies, and whichever of them is which.
+    """
+    names = docs.columns
+    hashable = [F.to_json(F.struct(F.col(f"`{f.name}`").alias("v"))) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), low.alias("id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64(*hashable).alias("hash"))
+    shared = docs.select(low.alias("id")).groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | (F.col("id") == -(1 << 63))).select("id")
+    if shared.isEmpty():
+        return d.select("row", "id", F.lit("").alias("tie"))
+    shared = small_side(materialize(shared, "shared"))
+    groups = d.join(shared, "id", "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row"), F.count("*").alias("n"))
+    stretch = 10_000
+    spread = groups.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(stretch).cast("bigint"))))
+    several = spread.where(F.col("n") > stretch).repartition(F.col("id"), F.col("hash"), F.col("at"))
+    spread = spread.where(F.col("n") <= stretch).unionByName(several)
+    each = spread.withColumn("nth", F.explode(F.sequence("at", F.least(F.col("n"), F.col("at") + stretch) - 1)))
+    tied = each.select("row", "id", F.concat_ws(":", F.lit(""), "hash", "nth").alias("tie"))
+    return d.join(shared, "id", "left_anti").select("row", "id", F.lit("").alias("tie")).unionByName(tied)
+
+
+def _inclusion(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """``src, common``: the factor of each source's preferred odds with which the expected words meet its budget.
+
+    A document's odds of inclusion are common * sqrt(size + 1). Sizes are put together in 64 bins for each doubling,
+    and the factor is found by halving, so a source is a row of a few thousand numbers at most.
+    """
+    size = F.col("size").cast("double")
+    bins = rows.groupBy("src", F.floor(F.log2(size + 1) * 64).alias("bin")).agg(F.sum("size").cast("double").alias("words"), F.sqrt(F.avg(size) + 1).alias("root"))
+    of = bins.where("words > 0").groupBy("src").agg(F.collect_list(F.struct("words", "root")).alias("bins")).join(targets.select("src", "budget", "source_size"), "src")
+    expected = lambda c: F.aggregate("bins", F.lit(0.0), lambda total, b: total + b["words"] * c * b["root"] / (1 + c * b["root"]))
+    middle = lambda s: (s["low"] + s["high"]) / 2
+    short = lambda s: expected(F.pow(F.lit(2.0), middle(s))) < F.col("budget")
+    halved = lambda s: F.transform(F.array(short(s)), lambda less: F.struct(F.when(less, middle(s)).otherwise(s["low"]).alias("low"), F.when(less, s["high"]).otherwise(middle(s)).alias("high")))[0]
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(F.lit(-60.0).alias("low"), F.lit(60.0).alias("high")), lambda s, _: halved(s), lambda s: F.pow(F.lit(2.0), middle(s)))
+    return of.select("src", F.when(F.col("budget") <= 0, 0.0).otherwise(found).alias("common"))
+
+
+def _rank(doc_id: Column, tie: Column, size: Column, seed: int) -> Column:
     """Random odds over preferred odds, brought to (0, 1) and then to whole numbers; the least come first.
 
-    A source's common inclusion odds would divide all its ranks alike, so that they leave its order as it is.
+    A source's common factor of the odds (see ``_inclusion``) would divide all its ranks alike and leave their order as it is.
     """
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), tie)
     u = (F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     odds = u / (1 - u) / F.sqrt(size + 1)
     return F.floor(odds / (1 + odds) * F.lit(float(1 << RANK_BITS))).cast("long")
@@ -86,7 +126,7 @@ def _fill(rows: DataFrame, gaps: DataFrame) -> DataFrame:
     fill = F.array().cast(f"array<struct<after:{at},upto:{at},most:double>>")
     state = gaps.select("src", F.col("gap").cast("double").alias("gap"), cut.alias("after"), fill.alias("fill"))
     while True:
-        state = materialize(state, "fill")
+        state = materialize(state, "fill", instead_of=state)
         going = state.where("after is not null and gap > 0").select("src", "gap", "after")
         if going.isEmpty():
             return state.select("src", "gap", "fill")
@@ -101,24 +141,26 @@ def _fill(rows: DataFrame, gaps: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies, taken``: how often the mix takes each document.
+    """``docs`` with ``size, source_size, target, inclusion, copies, taken``: how often the mix takes each document.
 
     Every document of a source gets the whole copies in target / source_size. The words still wanted are a Pareto
-    order sample: documents by random odds over preferred odds (in proportion to the root of the size), taken
-    whole as long as the words fit, and then up to three documents whose sizes close the rest best. Where that misses
-    the target by over MISS, the order goes on past documents that do not fit, if that ends nearer. A document is
-    taken at most whole copies + 1 times, which is within ``most``, rounded up. The random number is a digest of
-    the seed and doc_id, so reruns agree, however the rows lie.
-
-    Null texts have size 0, a null source is a source of its own (the last); rows that repeat a doc_id in a
-    source share their fate, as do rows without doc_id of equal size; an empty table stays empty. Columns of
-    ``docs`` named like the new ones are replaced.
+    order sample: each document has an inclusion probability, ``inclusion``, whose odds are in proportion to the root
+    of its size and with which the expected words are those wanted; documents go by random odds over these odds, and are
+    taken whole as long as the words fit. Beyond the Pareto draw, up to three documents whose sizes close the rest best
+    are taken. Where that misses the target by over MISS, the order goes on past documents that do not fit, if that ends
+    nearer. A document is taken at most whole copies + 1 times, which is within ``most``, rounded up. The random number
+    is a digest of the seed and doc_id, so reruns agree, however the rows lie.
+
+    Null texts have size 0, a null source is a source of its own (the last); texts may be of any length. Rows that share
+    a doc_id, or have none, are drawn one by one by their columns, equal rows by a number besides, so that ties do not
+    move a source off its target. An empty table stays empty. Columns of ``docs`` named like the new ones are replaced.
     """
-    new = ("size", "source_size", "target", "copies", "taken")
-    src = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    size = F.size(words_of(F.col("text"))).cast("long")
+    new = ("size", "source_size", "target", "inclusion", "copies", "taken")
     low = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    sized = docs.select(src.alias("src"), F.col("source").cast("string").alias("source"), low.alias("id"), size.alias("size"), _rank(F.col("doc_id"), size, seed).alias("rank"))
+    apart = _told_apart(docs, low)
+    src = F.coalesce(F.concat(F.lit("s"), F.col("row.source").cast("string")), F.lit("n"))
+    size = F.size(words_of(F.col("row.text"))).cast("long")
+    sized = apart.select(src.alias("src"), F.col("row.source").cast("string").alias("source"), "id", size.alias("size"), _rank(F.col("row.doc_id"), F.col("tie"), size, seed).alias("rank"))
     rows = materialize(sized, "sizes")
 
     totals = rows.groupBy("src").agg(F.max("source").alias("source"), F.sum("size").alias("source_size"))
@@ -145,15 +187,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     filled = _fill(rows, first.select("src", "gap").join(missed, "src").join(cuts, "src")).withColumnRenamed("gap", "fill_gap")
     nearer = F.coalesce(F.abs("fill_gap") < F.abs("gap"), F.lit(False))
     left = left.join(filled, "src", "left").select("src", F.when(nearer, empty).otherwise(F.col("closing")).alias("closing"), F.when(nearer, F.col("fill")).alias("fill"))
-    fates = materialize(targets.join(cuts, "src", "left").join(left, "src", "left").drop("source"), "fates")
+    fates = targets.join(_inclusion(rows, targets), "src", "left").join(cuts, "src", "left").join(left, "src", "left").drop("source")
+    fates = materialize(fates, "fates")
 
     kept = [c for c in docs.columns if c.lower() not in new]
-    d = docs.select(*[F.col(f"`{c}`") for c in kept], src.alias("src"), low.alias("id"), size.alias("size"), _rank(F.col("doc_id"), size, seed).alias("rank"))
+    d = apart.select("row", src.alias("src"), "id", size.alias("size"), _rank(F.col("row.doc_id"), F.col("tie"), size, seed).alias("rank"))
     at = F.struct("rank", "id")
     filling = F.exists("fill", lambda x: (at > x["after"]) & (at <= x["upto"]) & (F.col("size") > 0) & (F.col("size") <= x["most"]))
     extra = (at <= F.struct("cut_rank", "cut_id")) | F.coalesce(F.array_contains("closing", one), F.lit(False)) | F.coalesce(filling, F.lit(False))
     d = d.join(small_side(fates), "src").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
-    return d.withColumn("taken", F.col("copies") * F.col("size")).select(*[F.col(f"`{c}`") for c in kept], *new)
+    odds = F.coalesce("common", F.lit(0.0)) * F.sqrt(F.col("size") + 1)
+    d = d.withColumn("inclusion", odds / (1 + odds)).withColumn("taken", F.col("copies") * F.col("size"))
+    return d.select(*[F.col(f"row.`{c}`") for c in kept], *new)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
