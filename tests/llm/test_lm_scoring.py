@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -32,3 +34,31 @@ def test_empty_null_and_repeated(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
     assert backoff_scores(docs.limit(0)).collect() == []
     assert sorted(x.n_pairs_seen for x in backoff_scores(docs).collect()) == [1, 1, 1]
+
+
+def slow(texts, order):
+    """Sum of log scores of each text by the definition, counting the other texts anew each time."""
+    docs, out = [(t or "").split() for t in texts], []
+    grams = lambda w: Counter(tuple(w[i : i + k]) for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    every, words = sum((grams(w) for w in docs), Counter()), sum(map(len, docs))
+    for w in docs:
+        c, n = every - grams(w), words - len(w)
+
+        def score(g, c=c, n=n):
+            if len(g) == 1:
+                return c[g] / n if c[g] else 0.4 / (n + 1)
+            return c[g] / c[g[:-1]] if c[g] else 0.4 * score(g[1:])
+
+        out.append(sum(math.log(score(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(len(w))))
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders_match_the_definition(spark, monkeypatch, order):
+    monkeypatch.setattr(lm_scoring, "BATCH_WORDS", 60)
+    monkeypatch.setattr(lm_scoring, "MOST_WORDS", 60)
+    r = random.Random(order)
+    texts = [" ".join(r.choices("abcde", k=r.randint(0, 25))) for _ in range(40)] + [None, "", "zz", "a b c d e a b c d e"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.logprob for x in lm_scoring.backoff_scores(docs, order).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(slow(texts, order))

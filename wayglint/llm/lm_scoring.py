@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .substring import mixed, word_names
 
-#: Words in a batch of documents at least, and n-grams of a batch in a part of the hash space about at least.
-BATCH_WORDS, PIECE = 1_500_000, 2_000
+#: Words in a batch of documents at least and at most, and n-grams of a batch in a part of the hash space about at least
+#: (as long as batches may grow).
+BATCH_WORDS, MOST_WORDS, PIECE = 1_500_000, 4_000_000, 2_000
 #: Factor of each step back, as published.
 BACKOFF = 0.4
 
@@ -32,21 +33,22 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
 
 
 class _Batch:
-    """The n-grams of some documents: hashes of words and of pairs of neighbours, sorted, with their counts."""
+    """The n-grams of some documents: hashes of one to ``order`` words in a row, sorted, with their counts."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], order: int):
         words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         self.sizes = np.array([len(w) for w in words], np.int64)
         names = word_names([w for d in words for w in d])
         self.doc = np.repeat(np.arange(len(words)), self.sizes)
-        self.one = mixed(names, 51)
-        self.paired = np.zeros(len(names), bool)
-        self.paired[1:] = self.doc[1:] == self.doc[:-1]
-        two = mixed(names[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(names[1:], 53), 57)[self.paired[1:]]
-        # hash zero stands for all words, so that their number is counted like an n-gram's
-        self.hashes, inverse, self.counts = np.unique(np.concatenate([np.zeros(len(names), np.uint64), self.one, two]), return_inverse=True, return_counts=True)
-        self.word_at = inverse[len(names) : 2 * len(names)]
-        self.pair_at = inverse[2 * len(names) :]
+        place = np.arange(len(names)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        # for each length, where in the batch an n-gram of it ends; hash zero stands for all words, so that their number is counted like an n-gram's
+        self.ends = [np.flatnonzero(place >= k) for k in range(order)]
+        grams, so_far = [np.zeros(len(names), np.uint64), mixed(names, 51)], names
+        for k in range(1, order):
+            so_far = np.concatenate([np.zeros(1, np.uint64), mixed(so_far[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(names[1:], 53), 53 + 4 * k)])[: len(names)]
+            grams.append(so_far[self.ends[k]])
+        self.hashes, inverse, self.counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        self.at = np.split(inverse, np.cumsum([len(g) for g in grams])[:-1])[1:]
 
     def part_of(self, parts: int) -> np.ndarray:
         """Which of so many equal stretches of the hash space each n-gram is in."""
@@ -60,41 +62,49 @@ class _Batch:
     def scores(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sum of the log scores of each document's words, and how many of them had their pair in other documents."""
         n_docs, n_words = len(self.sizes), len(self.doc)
+        seen = np.zeros(n_docs, np.int64)
         if not n_words:
-            return np.zeros(n_docs), np.zeros(n_docs, np.int64)
-        of_word = self._others(self.word_at, self.doc, totals).astype(float)
+            return np.zeros(n_docs), seen
+        shorter = self._others(self.at[0], self.doc, totals).astype(float)
         all_others = (int(totals[0]) - self.sizes)[self.doc].astype(float)
         with np.errstate(divide="ignore", invalid="ignore"):
-            alone = np.where(of_word > 0, np.log(of_word / all_others), np.log(BACKOFF / (all_others + 1)))
-            score = alone + np.where(self.paired, math.log(BACKOFF), 0.0)
-            at = np.flatnonzero(self.paired)
-            of_pair = self._others(self.pair_at, self.doc[at], totals).astype(float)
-            score[at] = np.where(of_pair > 0, np.log(of_pair / of_word[at - 1]), score[at])
-        seen = np.bincount(self.doc[at], weights=of_pair > 0, minlength=n_docs)
-        return np.bincount(self.doc, weights=score, minlength=n_docs), seen.astype(np.int64)
-
-
-def backoff_scores(docs: DataFrame) -> DataFrame:
+            score = np.where(shorter > 0, np.log(shorter / all_others), np.log(BACKOFF / (all_others + 1)))
+            for k, (ends, at) in enumerate(zip(self.ends[1:], self.at[1:], strict=True), 2):
+                found = self._others(at, self.doc[ends], totals).astype(float)
+                score[ends] = np.where(found > 0, np.log(found / shorter[ends - 1]), score[ends] + math.log(BACKOFF))
+                shorter = np.zeros(n_words)
+                shorter[ends] = found
+                if k == 2:
+                    seen = np.bincount(self.doc[ends], weights=found > 0, minlength=n_docs).astype(np.int64)
+        return np.bincount(self.doc, weights=score, minlength=n_docs), seen
+
+
+def backoff_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     """``doc_id, n_words, n_pairs_seen, logprob, mean_logprob`` of each row of ``docs(doc_id, text)``.
 
-    The model is of order two and counts all documents; each is scored as if it were not among them. A word's score
-    is c(pair) / c(word before) if other documents have the pair, else 0.4 times c(word) / words; a word that no other
-    document has counts 0.4 / (words + 1), and a document's first word is scored alone. logprob sums their natural
-    logarithms; mean_logprob is over the words (both 0 for a text without words, null texts included).
+    The model counts the n-grams of up to ``order`` words of all documents; each document is scored as if it were not
+    among them. A word's score is c(n-gram) / c(n-gram without its last word) for the longest n-gram that ends in it, up
+    to ``order``, if other documents have it; else 0.4 times the score of the next shorter one; that of the word alone is
+    c(word) / words, and a word that no other document has counts 0.4 / (words + 1). Contexts end at the document's
+    start. logprob sums the natural logarithms; mean_logprob is over the words (both 0 for a text without words, null
+    texts included).
 
     Batches of documents send each of their different n-grams once, with its count, to the part of the hash space
     it is in, where the counts add up; the totals come back in the same order, and the batch sums them by document.
-    So a word that is in every document costs a number a batch. Batches grow with the root of the corpus, and
-    parts are as many as batches. Repeated rows and rows of null doc_id are documents like any other; other columns
+    So a word that is in every document costs a number a batch. Batches grow with the root of the corpus up to
+    MOST_WORDS words, and parts are as many as batches, so a task's memory is bounded at every size (a document is
+    whole in its batch). Repeated rows and rows of null doc_id are documents like any other; other columns
     are ignored; an empty table gives an empty result.
     """
+    if order < 1:
+        raise ValueError("the order is at least one")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = (rows.agg(F.sum(F.length("text"))).first()[0] or 0) / 6
-    parts = max(1, math.ceil(words / max(BATCH_WORDS, math.sqrt(words * PIECE))))
+    parts = max(1, math.ceil(words / max(BATCH_WORDS, min(MOST_WORDS, math.sqrt(words * PIECE)))))
     rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.length("text"), "text"), F.lit(parts)).cast("int"))
 
     def ask(table: pa.Table) -> pa.Table:
-        b = _Batch(table.column("text").to_pylist())
+        b = _Batch(table.column("text").to_pylist(), order)
         cuts = np.searchsorted(b.part_of(parts), np.arange(parts + 1))
         filled = [(p, a, z) for p, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if z > a]
         batch = table.column("batch")[0].as_py()
@@ -114,7 +124,7 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
         return pa.Table.from_pydict({"batch": [p["batch"] for p in pieces], "part": [p["part"] for p in pieces], "n": [p["n"] for p in pieces], "totals": answers}, schema=_ANSWER)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-        b = _Batch(table.column("text").to_pylist())
+        b = _Batch(table.column("text").to_pylist(), order)
         found = sorted(answers.to_pylist(), key=lambda a: a["part"])
         totals = np.concatenate([np.zeros(0, np.uint64), *[_unpack(a["totals"], a["n"]) for a in found]]).astype(np.int64)
         logprob, seen = b.scores(totals)

@@ -147,8 +147,8 @@ def analyse(names: np.ndarray, offsets: np.ndarray, length: int, rounds: int) ->
 
     Each round names runs and then pairs of symbols. A window's interior symbols are those whose ``[lo, hi)`` it
     holds; the one with the least hash of those words is its anchor, so equal windows have equal anchors in equal
-    places. A window without interior symbols is a group of its own, named by its words. ``span`` names all words
-    of the group's windows and the anchor's place in them.
+    places. A window without interior symbols is a group of its own, named by a second hash of its words. ``span`` names
+    all words of the group's windows and the anchor's place in them.
     """
     n_docs = len(offsets) - 1
     sizes = np.diff(offsets)
@@ -177,9 +177,9 @@ def analyse(names: np.ndarray, offsets: np.ndarray, length: int, rounds: int) ->
     lo, hi = starts[heads], starts[np.append(heads[1:], len(starts)) - 1]
     a = anchor[heads]
     span = run(lo, hi + length)
-    name = mixed(span, 37)
+    has = a >= 0
+    name = np.zeros(len(lo), np.uint64) if has.all() else RunHash(names, 3)(lo, hi + length)
     if inside.any():
-        has = a >= 0
         name[has] = key[a[has]]
         span[has] = mixed(span[has] ^ mixed((s.at[a[has]] - lo[has]).astype(np.uint64), 41))
     return Groups(lo, hi, doc_of[lo], name, span)
@@ -209,6 +209,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], in_order: bool) -> Iterator[tuple
         yield done(rows)
 
 
+def _first_of_each(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Index of the first of each different pair."""
+    order = np.lexsort((b, a))
+    new = np.ones(len(order), bool)
+    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    return order[new]
+
+
 _signed = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
@@ -226,7 +234,7 @@ def first_groups(docs: DataFrame, length: int, rounds: int) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, names, offsets in _chunks(batches, in_order=True):
             g = analyse(names, offsets, length, rounds)
-            first = np.unique(mixed(g.name, 43) ^ g.span, return_index=True)[1]
+            first = _first_of_each(g.name, g.span)
             ids = _rows_of([r["doc_id"] for r in rows], g.doc[first])
             yield pa.RecordBatch.from_arrays([_signed(g.name[first]), _signed(g.span[first]), ids, pa.array((g.lo - offsets[g.doc])[first].astype(np.int32))], ["name", "span", "doc_id", "pos"])
 
@@ -264,7 +272,7 @@ def first_windows(docs: DataFrame, firsts: DataFrame, length: int, rounds: int)
             _, open_ = _judged(rows, names, offsets, length, rounds)
             at = np.flatnonzero(open_)
             one, two = RunHash(names, 1)(at, at + length), RunHash(names, 2)(at, at + length)
-            first = np.unique(one ^ mixed(two), return_index=True)[1]
+            first = _first_of_each(one, two)
             doc = np.searchsorted(offsets, at[first], "right") - 1
             ids = _rows_of([r["doc_id"] for r in rows], doc)
             yield pa.RecordBatch.from_arrays([_signed(one[first]), _signed(two[first]), ids, pa.array((at[first] - offsets[doc]).astype(np.int32))], ["one", "two", "doc_id", "pos"])
@@ -281,7 +289,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = 2) -> DataFr
     A word goes if it lies in a window of ``length`` words that also starts earlier: in a document of smaller doc_id
     or earlier in its own. Rounds of recompression give each window an anchor; equal groups of windows are found by
     the anchor and all their words, and only windows of groups that differ but share an anchor are compared one by
-    one. All of it is exact but for chance agreement of 128-bit hashes.
+    one. All of it is exact but for chance agreement of hashes: 64 bits of a group's words among groups of the same
+    anchor (whose own words another 64 bits name), 128 bits of a window's words where windows are compared one by one.
 
     Null texts have no words; documents of fewer than ``length`` words lose none; a null doc_id comes before all
     others; rows that repeat a doc_id are one document listed several times (windows at the same place of it are
