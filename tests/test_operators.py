@@ -1,6 +1,8 @@
 import math
 import random
+import time
 
+import xxhash
 from pyspark.sql import functions as F
 
 from wayglint.config import Settings, load_settings
@@ -106,3 +108,71 @@ def test_settings(tmp_path):
         except ValueError:
             continue
         raise AssertionError
+
+
+def test_rdp_against_recursion(spark):
+    """Thinning by shape keeps what the plain recursive algorithm keeps."""
+
+    def keep(p, a, b, epsilon):
+        (x0, y0), (x1, y1) = p[a], p[b]
+        best = (epsilon, None)
+        for i in range(a + 1, b):
+            dx, dy = x1 - x0, y1 - y0
+            t = min(1.0, max(0.0, ((p[i][0] - x0) * dx + (p[i][1] - y0) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+            d = math.hypot(p[i][0] - x0 - t * dx, p[i][1] - y0 - t * dy)
+            if d > best[0]:
+                best = (d, i)
+        return {a, b} if best[1] is None else keep(p, a, best[1], epsilon) | keep(p, best[1], b, epsilon)
+
+    r = random.Random(2)
+    rows, want = [], set()
+    for s in range(12):
+        p = [(r.uniform(0, 0.05), r.uniform(10, 10.05)) for _ in range(r.randint(1, 30))]
+        rows += [(s * 100 + i, str(s), i, x, y) for i, (x, y) in enumerate(p)]
+        want |= {s * 100 + i for i in keep(p, 0, len(p) - 1, 1000 / 111_195.0)}
+    d = spark.createDataFrame(rows, "id long, sequence string, timestamp long, long double, lat double")
+    assert {x.id for x in thinning.thin_by_shape(d, 1000.0).collect()} == want
+
+
+def test_long_sequences_are_thinned_in_linear_time(spark):
+    n = 60_000
+    d = spark.range(n).selectExpr("id", "'s' AS sequence", "id AS timestamp", "id * 0.01 % 90 AS long", "10.0 AS lat", "0 AS urban")
+    began = time.monotonic()
+    assert thinning.thin(d, 100.0, 100.0).count() == n
+    assert time.monotonic() - began < 60
+
+
+def test_samples_and_shuffles_by_their_hashes(spark):
+    """Spark's xxhash64 of a seed and a number, by the xxhash library."""
+    digest = lambda seed, x: (xxhash.xxh64_intdigest(x.to_bytes(8, "little", signed=True), xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)) + (1 << 63)) % (1 << 64) - (1 << 63)
+    keys = [7 * i + 3 for i in range(500)]
+    d = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
+    shuffled = ordering.numbered(d, "k", seed=42)
+    assert [x.k for x in shuffled.orderBy("rn").collect()] == sorted(keys, key=lambda k: (digest(42, k), k))
+    assert [x.chunk for x in ordering.ceil_chunks(shuffled, 500, 7).orderBy("rn").collect()] == [i // 72 for i in range(500)]
+    drawn = sorted(x.k for x in ordering.sample_with_replacement(ordering.numbered(d, "k"), 500, 300, seed=1).collect())
+    assert drawn == sorted(keys[digest(1, i) % 500] for i in range(300))
+
+
+def test_matching_takes_the_nearest_segment_of_long_roads(spark):
+    r = random.Random(6)
+    roads = [(o, [(0.001 * i, 10 + r.uniform(0, 0.004)) for i in range(12)]) for o in range(4)]
+    images = [(i, r.uniform(0, 0.011), 10 + r.uniform(0, 0.004)) for i in range(300)]
+    text = lambda vs: "LINESTRING (" + ", ".join(f"{x} {y}" for x, y in vs) + ")"
+    roads_df = spark.createDataFrame([(o, text(vs), "x") for o, vs in roads], "osm_id long, wkt string, osm_tags_highway string").withColumn("geometry", geo.from_wkt(F.col("wkt"))).drop("wkt")
+    got = {(x.id, x.osm_id): x.distance_meter for x in matching.match(spark.createDataFrame(images, "id long, long double, lat double"), roads_df).collect()}
+
+    def metres(x0, y0, x1, y1):
+        a = math.sin(math.radians(y1 - y0) / 2) ** 2 + math.cos(math.radians(y0)) * math.cos(math.radians(y1)) * math.sin(math.radians(x1 - x0) / 2) ** 2
+        return 2 * 6371008.0 * math.asin(math.sqrt(a))
+
+    want = {}
+    for i, x, y in images:
+        for o, vs in roads:
+            for (x0, y0), (x1, y1) in zip(vs, vs[1:], strict=False):
+                t = min(1.0, max(0.0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / ((x1 - x0) ** 2 + (y1 - y0) ** 2)))
+                d = metres(x, y, x0 + t * (x1 - x0), y0 + t * (y1 - y0))
+                if d < 30:
+                    want[i, o] = min(d, want.get((i, o), d))
+    assert got.keys() == want.keys() and len(want) > 20
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)

@@ -80,6 +80,32 @@ def test_pages():
     assert failed == [("a", 0, "failed", "status 500", None)]
 
 
+def test_repeated_records_do_not_end_a_key():
+    answers = [[1, 1], [1, 2], [2, 2], [1, 2], [3, 4], [4], [9, 9]]
+    get = lambda u, t: (200, json.dumps({"data": [{"id": i} for i in answers[int(u[-1])]]}))
+    assert [r[1] for r in http.pages_of("http://h?{key}{page}", "a", 2, pause=0, get=get)] == [0, 1, 4]
+    assert [r[1] for r in http.pages_of("http://h?{key}{page}", "a", 2, pause=0, get=get, stale=2)] == [0, 1]
+    began = time.monotonic()
+    list(http.pages_of("http://h?{key}{page}", "a", 2, pause=0, get=get, rate=50))
+    assert time.monotonic() - began >= 0.09
+
+
+def test_names_and_paths(spark):
+    rows = [("/a/Europe_x.csv",), ("/asia/EUROPE.asia",), ("/x/1-2-3.parquet",), ("/t=10-20-8/part-1.parquet",), ("none",), (None,)]
+    d = spark.createDataFrame(rows, "p string")
+    got = [(r.c, r.t) for r in d.select(files.class_of_name(F.col("p"), ["asia", "Europe"]).alias("c"), files.tile_of_path(F.col("p")).alias("t")).collect()]
+    assert got == [("Europe", None), ("asia", None), (None, "1-2-3"), (None, "10-20-8"), (None, None), (None, None)]
+
+
+def test_hot_partition_is_dealt_to_several_writers(spark, tmp_path):
+    d = spark.range(1000).selectExpr("id", "CASE WHEN id < 900 THEN 'hot' WHEN id < 950 THEN 'b' END AS tile", "map('k', id) AS m")
+    files.write_parquet(d, str(tmp_path / "t"), "tile", rows_per_file=100)
+    back = files.read_parquet(spark, str(tmp_path / "t"), file_name=True)
+    assert back.count() == 1000 and sorted(back.columns) == ["filename", "id", "m", "tile"]
+    assert back.groupBy("filename").count().agg({"count": "max"}).first()[0] <= 100
+    assert back.where("tile is null").count() == 50
+
+
 def test_data_source_reports_failures(spark):
     spark.dataSource.register(http.PagedJson)
     d = spark.read.format("paged_json").options(url="http://127.0.0.1:1/{key}/{page}", keys="a,b", retries="1", pause="0", timeout="1").load()

@@ -8,24 +8,34 @@ from pyspark.sql import functions as F
 from wayglint.functions import geo
 
 
-def layer_cells(layer: DataFrame, zoom: int, geometry: str = "geometry") -> DataFrame:
-    """One row for each tile that a polygon's bounding box touches; ``cell`` is the key that spatial joins hash on."""
+#: Tiles of areas within cities, which are small and lie close.
+URBAN_ZOOM = 11
+
+
+def layer_cells(layer: DataFrame, zoom: int, geometry: str = "geometry", box: str | None = None) -> DataFrame:
+    """One row for each tile that a polygon's bounding box touches; ``cell`` is the key that spatial joins hash on.
+
+    ``box`` names a column for the bounding box, if it is wanted.
+    """
     b = geo.bounds(F.col(geometry))
-    return layer.withColumn("_b", b).withColumn("cell", F.explode(geo.tile_cover("_b.xmin", "_b.ymin", "_b.xmax", "_b.ymax", zoom))).drop("_b")
+    cells = layer.withColumn("_b", b).withColumn("cell", F.explode(geo.tile_cover("_b.xmin", "_b.ymin", "_b.xmax", "_b.ymax", zoom)))
+    return cells.withColumnRenamed("_b", box) if box else cells.drop("_b")
 
 
 def join_points(points: DataFrame, layer: DataFrame, columns: list[str], zoom: int = 8, x: str = "long", y: str = "lat", equal: list[str] | None = None) -> DataFrame:
     """Left join: each point with ``columns`` of every polygon that holds it, edges included.
 
     The point's tile is a hash key, and ``equal`` names further key columns; a point is in one tile, so no pair
-    comes up twice, and only the polygon test of candidates is left. Overlapping polygons repeat the point.
+    comes up twice. Candidates pass the polygon's box before its edges are looked at; ``zoom`` should make tiles about as
+    large as the polygons. Overlapping polygons repeat the point.
     """
     equal = equal or []
-    cells = layer_cells(layer, zoom).select("cell", F.col("geometry").alias("_polygon"), *[F.col(c).alias(f"_on_{c}") for c in equal], *[F.col(c).alias(f"_new_{c}") for c in columns])
+    cells = layer_cells(layer, zoom, box="_box").select("cell", F.col("geometry").alias("_polygon"), *[F.col(f"_box.{c}").alias(f"_{c}") for c in ("xmin", "ymin", "xmax", "ymax")], *[F.col(c).alias(f"_on_{c}") for c in equal], *[F.col(c).alias(f"_new_{c}") for c in columns])
     left = points.withColumn("_cell", geo.tile_of(x, y, zoom))
     on = left["_cell"] == cells["cell"]
     for c in equal:
         on = on & (left[c] == cells[f"_on_{c}"])
+    on = on & left[x].between(cells["_xmin"], cells["_xmax"]) & left[y].between(cells["_ymin"], cells["_ymax"])
     on = on & geo.point_in_polygon(geo.vertex(x, y), F.col("_polygon"))
     joined = left.join(cells, on, "left")
     return joined.select(*points.columns, *[F.col(f"_new_{c}").alias(c) for c in columns])

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from wayglint.config import EARTH_RADIUS_M
 from wayglint.functions import geo
 
+#: Kept ids come in stretches of this many, so that appending to them does not copy all that is kept so far.
+STRETCH = 256
 _PLACE = "struct<order:bigint,id:bigint,x:double,y:double>"
 
 
@@ -24,13 +26,17 @@ def _gap(a: Column, b: Column, metric: str) -> Column:
 def thinned(places: Column, distance: Column | float, keep_last: bool = False, metric: str = "haversine") -> Column:
     """Ids that a walk along ordered places keeps: the first, and each that is farther than ``distance`` from the last kept one."""
     limit = distance if isinstance(distance, Column) else F.lit(float(distance))
-    start = F.struct(F.lit(None).cast(_PLACE).alias("last"), F.array().cast("array<bigint>").alias("kept"))
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(None).cast(_PLACE).alias("last"), none.alias("kept"), F.array().cast("array<array<bigint>>").alias("full"))
 
     def step(s: Column, p: Column) -> Column:
         keep = s["last"].isNull() | (_gap(s["last"], p, metric) > limit)
-        return F.when(keep, F.struct(p.cast(_PLACE).alias("last"), F.concat(s["kept"], F.array(p["id"])).alias("kept"))).otherwise(s)
+        longer = F.concat(s["kept"], F.array(p["id"]))
+        moved = F.struct(p.cast(_PLACE).alias("last"), longer.alias("kept"), s["full"].alias("full"))
+        emptied = F.struct(p.cast(_PLACE).alias("last"), none.alias("kept"), F.concat(s["full"], F.array(longer)).alias("full"))
+        return F.when(keep, F.when(F.size(s["kept"]) < STRETCH, moved).otherwise(emptied)).otherwise(s)
 
-    kept = F.aggregate(places, start, step, lambda s: s["kept"])
+    kept = F.aggregate(places, start, step, lambda s: F.concat(F.flatten(s["full"]), s["kept"]))
     return F.array_union(kept, F.array(F.element_at(places, -1)["id"])) if keep_last else kept
 
 

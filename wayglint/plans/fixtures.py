@@ -34,7 +34,7 @@ STAT_IMAGES = {
 
 
 def _sql(columns: dict[str, str], source: str) -> str:
-    ms = {"ms_ts": "epoch_ms(ts)", "ms_ship": "epoch_ms(l_shipdate)"}
+    ms = {"ms_ts": "epoch_us(ts) // 1000", "ms_ship": "epoch_us(l_shipdate) // 1000"}
     return "SELECT " + ", ".join(f"{e.format(**ms)} AS {n}" for n, e in columns.items()) + f" FROM {source}"
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayglint.config import Settings
 from wayglint.functions import arrays, geo
 from wayglint.functions import metrics as m
 from wayglint.operators import compiling, consensus, layer_stats, layers, matching, ordering, thinning, traces
 from wayglint.plans import fixtures as fx
-from wayglint.plans import stats_sql
+from wayglint.plans import pipelines, stats_sql
 from wayglint.plans.fixtures import with_
+from wayglint.sources import files
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -244,7 +246,7 @@ iu AS (SELECT ic.*, u.urban_id FROM ic LEFT JOIN urban u ON ic.country = u.count
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     d = layers.join_points(fx.images(spark, sf), fx.countries(spark, sf), ["country", "continent"])
-    return layers.join_points(d, fx.urban(spark, sf), ["urban_id"], equal=["country"])
+    return layers.join_points(d, fx.urban(spark, sf), ["urban_id"], layers.URBAN_ZOOM, equal=["country"])
 
 
 @query(_ENRICH + " SELECT id, country, urban_id FROM iu")
@@ -662,9 +664,9 @@ def set_union(spark: SparkSession, sf: str) -> DataFrame:
     return li.where("l_quantity > 45").select("l_partkey").union(li.where("l_discount > 9e-2").select("l_partkey")).distinct()
 
 
-@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 30")
+@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49")
 def set_difference(spark: SparkSession, sf: str) -> DataFrame:
-    done = fx.table(spark, sf, "lineitem").where("l_quantity > 30").select(F.col("l_partkey").alias("p_partkey"))
+    done = fx.table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"))
     return layers.not_done(fx.table(spark, sf, "part").select("p_partkey").distinct(), done, "p_partkey")
 
 
@@ -673,7 +675,222 @@ def drop_duplicates_subset(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "lineitem").dropDuplicates(["l_returnflag", "l_linestatus"]).select("l_returnflag", "l_linestatus")
 
 
-@query("SELECT l_orderkey, max(l_quantity) AS most, sum(l_quantity)::DOUBLE AS total, count(*)::BIGINT AS n, mode(l_returnflag ORDER BY l_returnflag) AS m, median(l_quantity) AS mid FROM (SELECT DISTINCT l_orderkey, l_partkey, l_quantity, 'x' AS l_returnflag FROM lineitem) GROUP BY 1")
+@query("""WITH d AS (SELECT DISTINCT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem),
+c AS (SELECT l_orderkey, l_returnflag, count(*) AS n FROM d GROUP BY ALL), m AS (SELECT l_orderkey, first(l_returnflag ORDER BY n DESC, l_returnflag) AS m FROM c GROUP BY 1)
+SELECT l_orderkey, max(l_quantity) AS most, sum(l_quantity)::DOUBLE AS total, count(*)::BIGINT AS n, any_value(m.m) AS m, median(l_quantity) AS mid FROM d JOIN m USING (l_orderkey) GROUP BY 1""")
 def group_aggregates(spark: SparkSession, sf: str) -> DataFrame:
-    d = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", F.lit("x").alias("l_returnflag")).distinct()
-    return d.groupBy("l_orderkey").agg(F.max("l_quantity").alias("most"), F.sum("l_quantity").alias("total"), F.count("*").alias("n"), F.mode("l_returnflag").alias("m"), F.median("l_quantity").alias("mid"))
+    d = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag").distinct()
+    return d.groupBy("l_orderkey").agg(F.max("l_quantity").alias("most"), F.sum("l_quantity").alias("total"), F.count("*").alias("n"), F.mode("l_returnflag", True).alias("m"), F.median("l_quantity").alias("mid"))
+
+
+@query("SELECT l_partkey, max(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity END) AS most, min(CASE WHEN l_linenumber > 5 THEN l_tax END) AS least FROM lineitem GROUP BY 1")
+def null_skipping_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    d = fx.table(spark, sf, "lineitem")
+    return d.groupBy("l_partkey").agg(F.max(F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity"))).alias("most"), F.min(F.when(F.col("l_linenumber") > 5, F.col("l_tax"))).alias("least"))
+
+
+# ---- sources and sinks: written, read back -----------------------------------------------------------------------
+
+
+def _image_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Images in the shape of a metadata file."""
+    d = fx.images(spark, sf)
+    have = {"sequence": F.col("sequence").cast("string"), "url": F.concat(F.lit("http://img/"), F.col("id")), "geometry": geo.to_wkt(geo.point("long", "lat")), "is_pano": F.col("id") % 2 == 0, "timestamp": F.col("timestamp").cast("bigint")}
+    return d.withColumns(have).select(*[F.col(f.name).cast(f.dataType) if f.name in d.columns or f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in files.IMAGE_COLUMNS])
+
+
+_IMAGE_COLUMNS_SQL = "id, sequence::VARCHAR AS sequence, 'http://img/' || id AS url, long, lat, id % 2 = 0 AS is_pano, timestamp::BIGINT AS timestamp"
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT {_IMAGE_COLUMNS_SQL}, long AS x, lat AS y FROM images")
+def csv_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "csv")
+    files.write_csv(_image_rows(spark, sf), path, mode="overwrite")
+    p = geo.start_point(F.col("geometry"))
+    return files.read_images_csv(spark, path).select("id", "sequence", "url", "long", "lat", "is_pano", "timestamp", p["x"].alias("x"), p["y"].alias("y"))
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT sequence::VARCHAR AS sequence, count(*)::BIGINT AS n FROM images GROUP BY 1")
+def csv_column_subset(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "csv")
+    files.write_csv(_image_rows(spark, sf), path, mode="overwrite", rows_per_file=1000)
+    return files.read_images_csv(spark, path, columns=["sequence"]).groupBy("sequence").agg(F.count("*").alias("n"))
+
+
+@query("SELECT r_regionkey, r_name, n FROM region, (VALUES (1::BIGINT), (2::BIGINT)) v(n)")
+def csv_append(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "append")
+    for n in (1, 2):
+        files.write_csv(fx.table(spark, sf, "region").select("r_regionkey", "r_name", F.lit(n).cast("bigint").alias("n")), path)
+    return spark.read.schema("r_regionkey int, r_name string, n bigint").option("header", True).csv(path)
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
+def csv_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "snapshot")
+    for region in (1, 2):
+        files.write_csv(fx.table(spark, sf, "nation").where(F.col("n_regionkey") == region).select("n_nationkey", "n_name"), path, mode="overwrite")
+    return spark.read.schema("n_nationkey int, n_name string").option("header", True).csv(path)
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT id, long, lat, {_tile_name_sql('long', 'lat', 8)} AS tile FROM images")
+def tile_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "tiles")
+    files.write_parquet(fx.images(spark, sf).select("id", "long", "lat", geo.tile_of("long", "lat", 8).alias("tile")), path, "tile", rows_per_file=500)
+    return files.read_parquet(spark, path).select("id", "long", "lat", F.col("tile").cast("string").alias("tile"))
+
+
+@query(f"{with_('images')} t AS (SELECT {_tile_name_sql('long', 'lat', 8)} AS tile, count(*) AS n FROM images GROUP BY 1) SELECT tile, n::BIGINT AS n, true AS split FROM t")
+def chunked_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of at most 50 rows, their tile told from the path."""
+    path = files.scratch_path(spark, "chunks")
+    files.write_parquet(fx.images(spark, sf).select("id", geo.tile_of("long", "lat", 8).alias("tile")), path, "tile", rows_per_file=50)
+    by_file = files.read_parquet(spark, path, file_name=True).groupBy("filename").agg(F.count("*").alias("rows"))
+    return by_file.groupBy(files.tile_of_path(F.col("filename")).alias("tile")).agg(F.sum("rows").alias("n"), (F.max("rows") <= 50).alias("split"))
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT id, {_tile_name_sql('long', 'lat', 8)} AS tile FROM images")
+def tile_from_path(spark: SparkSession, sf: str) -> DataFrame:
+    path = F.concat(F.lit("file:/out/images_"), geo.tile_of("long", "lat", 8), F.lit(".parquet"))
+    return fx.images(spark, sf).select("id", files.tile_of_path(path).alias("tile"))
+
+
+@query("SELECT n_name, CASE WHEN contains(r_name, 'EUROPE') THEN 'Europe' WHEN contains(r_name, 'ASIA') THEN 'Asia' WHEN contains(r_name, 'AMERICA') THEN 'America' ELSE 'other' END AS class FROM nation JOIN region ON n_regionkey = r_regionkey")
+def class_from_file_name(spark: SparkSession, sf: str) -> DataFrame:
+    d = fx.table(spark, sf, "nation").join(fx.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    path = F.concat(F.lit("/asia_data/roads_"), F.lower("r_name"), F.lit(".geojson"))
+    return d.select("n_name", files.class_of_name(path, ["Europe", "Asia", "America"], "other").alias("class"))
+
+
+def _z_order_sql(x: str, y: str) -> str:
+    grid = {"c": f"least(greatest(floor(({x} + 180) / 360 * 65536), 0), 65535)::BIGINT", "r": f"least(greatest(floor(({y} + 90) / 180 * 65536), 0), 65535)::BIGINT"}
+    return "(" + " + ".join(f"(({grid[v]} >> {k}) & 1) * {1 << 2 * k + n}" for k in range(16) for n, v in enumerate("cr")) + ")::BIGINT"
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT id, {_z_order_sql('long', 'lat')} AS code, true AS in_range FROM images")
+def clustered_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Written in the order of a space-filling curve; no file's range of codes holds another's first code."""
+    path = files.scratch_path(spark, "clustered")
+    files.write_clustered(fx.images(spark, sf).select("id", geo.z_order("long", "lat").alias("code")), path, "code")
+    d = files.read_parquet(spark, path, file_name=True)
+    ranges = d.groupBy("filename").agg(F.min("code").alias("low"), F.max("code").alias("high"))
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    apart = ranges.withColumn("in_range", F.coalesce(before <= F.col("low"), F.lit(True))).select("filename", "in_range")
+    return d.join(apart, "filename").select("id", "code", "in_range")
+
+
+@query("SELECT n_nationkey, n_name, 'part-nation' AS kind FROM nation")
+def scan_with_file_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A scan by glob of several folders, with each row's file."""
+    path = files.scratch_path(spark, "scan")
+    files.write_parquet(fx.table(spark, sf, "nation").where("n_nationkey % 2 = 0"), f"{path}/a")
+    files.write_parquet(fx.table(spark, sf, "nation").where("n_nationkey % 2 = 1"), f"{path}/b")
+    d = files.read_parquet(spark, files.first_existing(spark, f"{path}/none/*", f"{path}/*"), glob="*.parquet", file_name=True)
+    return d.select("n_nationkey", "n_name", F.when(F.contains("filename", F.lit("part-")), F.lit("part-nation")).alias("kind"))
+
+
+@query("SELECT r_regionkey, r_name FROM region WHERE 1 = 1")
+def scan_newer_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files written after a time; all that is older is not listed."""
+    path = files.scratch_path(spark, "newer")
+    files.write_parquet(fx.table(spark, sf, "region"), path)
+    found = files.read_parquet(spark, path, newer_than="2000-01-01T00:00:00").select("r_regionkey", "r_name")
+    return files.clean_names(found.toDF("\ufeffr_regionkey ", " r_name"))
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT id, 'http://img/' || id AS url, long, lat, id % 2 = 0 AS is_pano, timestamp::BIGINT AS timestamp FROM images WHERE id % 5 <> 0")
+def api_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers of an image service: records without a place are dropped, repeated ones come once."""
+    at = F.when(F.col("id") % 5 != 0, F.struct(F.array("long", "lat").alias("coordinates")))
+    wrong = F.when(F.col("id") % 5 != 0, F.struct(F.array(F.lit(0.0), F.lit(0.0)).alias("coordinates")))
+    record = F.struct(
+        F.col("id").cast("string").alias("id"), F.col("sequence").cast("string").alias("sequence"), F.concat(F.lit("http://img/"), F.col("id")).alias("thumb_original_url"),
+        F.when(F.col("id") % 3 == 0, at).alias("computed_geometry"), F.when(F.col("id") % 3 == 0, wrong).otherwise(at).alias("geometry"), F.col("timestamp").cast("bigint").alias("captured_at"), (F.col("id") % 2 == 0).alias("is_pano"),
+    )
+    answers = fx.images(spark, sf).groupBy("sequence").agg(F.collect_list(record).alias("data")).select(F.to_json(F.struct("data")).alias("json"))
+    found = files.images_from_json(answers.unionByName(answers))
+    return found.select("id", "url", "long", "lat", "is_pano", "timestamp")
+
+
+@query(f"{with_('countries')} t AS (SELECT 1) SELECT country, x0, y0, x0 + 1 AS x1, y0 + 1 AS y1 FROM countries")
+def geojson_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.scratch_path(spark, "geojson")
+    lines = fx.countries(spark, sf).select("country", "geometry")
+    files.write_geojson(lines, path)
+    text = spark.read.text(path).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+    text.coalesce(1).write.text(f"{path}-all")
+    b = geo.bounds(F.col("geometry"))
+    return files.read_geojson(spark, f"{path}-all", {"country": "string"}).select("country", b["xmin"].alias("x0"), b["ymin"].alias("y0"), b["xmax"].alias("x1"), b["ymax"].alias("y1"))
+
+
+@query(f"{with_('images')} t AS (SELECT 1) SELECT sequence, count(*)::BIGINT AS n, max(long) AS east FROM images WHERE lat > 11 GROUP BY 1 HAVING count(*) > 2")
+def view_sql(spark: SparkSession, sf: str) -> DataFrame:
+    fx.images(spark, sf).createOrReplaceTempView("wayglint_images")
+    return spark.sql("SELECT sequence, count(*) AS n, max(long) AS east FROM wayglint_images WHERE lat > 11 GROUP BY sequence HAVING count(*) > 2")
+
+
+# ---- more of layers and shapes -----------------------------------------------------------------------------------
+
+
+@query(f"{with_('images', 'countries')} t AS (SELECT 1) SELECT i.id, c.country FROM images i LEFT JOIN countries c ON i.long BETWEEN x0 AND x0 + 1 AND i.lat BETWEEN y0 AND y0 + 1 AND NOT (i.long > x0 + 0.25::DOUBLE AND i.long < x0 + 0.75::DOUBLE AND i.lat > y0 + 0.25::DOUBLE AND i.lat < y0 + 0.75::DOUBLE)")
+def points_in_rings(spark: SparkSession, sf: str) -> DataFrame:
+    """Polygons with a hole, whose edge belongs to them."""
+    ring = lambda a, b: F.get(geo.box(F.col("x0") + a, F.col("y0") + a, F.col("x0") + b, F.col("y0") + b)["parts"], F.lit(0))
+    c = fx.countries(spark, sf).withColumn("geometry", geo.geometry("POLYGON", F.array(ring(0.0, 1.0), ring(0.25, 0.75))))
+    return layers.join_points(fx.images(spark, sf), c, ["country"]).select("id", "country")
+
+
+@query(f"{with_('images', 'countries')} t AS (SELECT 1) SELECT i.id, c.country FROM images i LEFT JOIN countries c ON (i.long BETWEEN x0 AND x0 + 0.25::DOUBLE AND i.lat BETWEEN y0 AND y0 + 0.25::DOUBLE) OR (i.long BETWEEN x0 + 0.5::DOUBLE AND x0 + 0.75::DOUBLE AND i.lat BETWEEN y0 + 0.5::DOUBLE AND y0 + 0.75::DOUBLE)")
+def points_in_multipolygons(spark: SparkSession, sf: str) -> DataFrame:
+    ring = lambda a, b: F.get(geo.box(F.col("x0") + a, F.col("y0") + a, F.col("x0") + b, F.col("y0") + b)["parts"], F.lit(0))
+    c = fx.countries(spark, sf).withColumn("geometry", geo.geometry("MULTIPOLYGON", F.array(ring(0.0, 0.25), ring(0.5, 0.75))))
+    return layers.join_points(fx.images(spark, sf), c, ["country"]).select("id", "country")
+
+
+@query(_ENRICH + """, second AS (SELECT urban_id AS centre_id, country, x0 + w / 4 AS x0, y0 + h / 4 AS y0, w / 2 AS w, h / 2 AS h FROM urban WHERE urban_id % 2 = 0)
+SELECT iu.id, iu.urban_id, s.centre_id, (iu.urban_id IS NOT NULL OR s.centre_id IS NOT NULL)::INT AS urban FROM iu
+LEFT JOIN second s ON iu.country = s.country AND iu.long BETWEEN s.x0 AND s.x0 + s.w AND iu.lat BETWEEN s.y0 AND s.y0 + s.h""")
+def enrich_two_urban_layers(spark: SparkSession, sf: str) -> DataFrame:
+    u = fx.urban(spark, sf)
+    x, y = F.col("x0") + F.col("w") / 4, F.col("y0") + F.col("h") / 4
+    centres = u.where("urban_id % 2 = 0").select(F.col("urban_id").alias("centre_id"), "country", geo.box(x, y, x + F.col("w") / 2, y + F.col("h") / 2).alias("geometry"))
+    d = pipelines.enrich(fx.images(spark, sf), fx.countries(spark, sf), {"urban_id": u, "centre_id": centres}, Settings())
+    return d.select("id", "urban_id", "centre_id", "urban")
+
+
+@query(f"""{with_('countries', 'urban')} j AS (SELECT u.urban_id, c.country, c.continent, u.x0, u.y0, u.w, u.h FROM urban u LEFT JOIN countries c ON u.x0 <= c.x0 + 1 AND u.x0 + u.w >= c.x0 AND u.y0 <= c.y0 + 1 AND u.y0 + u.h >= c.y0)
+SELECT urban_id, country, continent, ((xb - xa + 1) * (yb - ya + 1))::BIGINT AS n FROM (SELECT urban_id, country, continent, {_tile_sql('x0', 'y0', 8)[0]} AS xa, {_tile_sql('x0 + w', 'y0', 8)[0]} AS xb, {_tile_sql('x0', 'y0 + h', 8)[1]} AS ya, {_tile_sql('x0', 'y0', 8)[1]} AS yb FROM j)""")
+def prepare_urban_layer(spark: SparkSession, sf: str) -> DataFrame:
+    d = pipelines.prepare_urban(fx.urban(spark, sf).select("urban_id", "geometry"), fx.countries(spark, sf), "urban_id", 8)
+    return d.select("urban_id", "country", "continent", F.size("tiles").cast("bigint").alias("n"))
+
+
+@query(f"{with_('urban')} c AS ({stats_sql.compile_sql('urban_id', 'urban_id', False, True)}) SELECT u.urban_id, u.country, c.number_of_images, c.count_osm_ids, c.osm_coverage, c.number_of_z14_tiles FROM urban u LEFT JOIN c ON u.urban_id::VARCHAR = c.urban_id")
+def compile_on_urban_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Every urban area with its compiled statistics, null where there are none."""
+    stats = compiling.compile_stats(_partials(spark, sf, "urban_id"), "urban_id", exact_ids=True).select("urban_id", "number_of_images", "count_osm_ids", "osm_coverage", "number_of_z14_tiles")
+    return compiling.on_layer(fx.urban(spark, sf).select("urban_id", "country"), stats, "urban_id")
+
+
+@query("SELECT r_regionkey, r_name AS osm_r_name_2, r_name AS pred_r_name FROM region")
+def prefixed_columns(spark: SparkSession, sf: str) -> DataFrame:
+    r = fx.table(spark, sf, "region").select("r_regionkey", "r_name")
+    return m.prefixed(r, "osm_", "_2", keep=["r_regionkey"]).join(m.prefixed(r, "pred_", keep=["r_regionkey"]), "r_regionkey")
+
+
+@query(f"{with_('countries')} t AS (SELECT 1) SELECT country, 5::BIGINT AS vertices, x0 AS x, y0 AS y, x0 + 1 AS x2, y0 + 1 AS y2 FROM countries")
+def boxes_to_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    ring = F.get(geo.box("x0", "y0", F.col("x0") + 1, F.col("y0") + 1)["parts"], F.lit(0))
+    at = lambda i, c: F.get(ring, F.lit(i))[c]
+    return fx.countries(spark, sf).select("country", F.size(ring).cast("bigint").alias("vertices"), at(0, "x").alias("x"), at(0, "y").alias("y"), at(2, "x").alias("x2"), at(2, "y").alias("y2"))
+
+
+@query(f"""{with_('images')} t AS (SELECT a.x::INT AS x, b.y::INT AS y FROM (SELECT unnest(range(127, 136)) AS x) a, (SELECT unnest(range(108, 122)) AS y) b)
+SELECT concat_ws('-', x, y, 8) AS tile FROM t WHERE x BETWEEN {_tile_sql('0.5', '10.5', 8)[0]} AND {_tile_sql('6.5', '12.5', 8)[0]} AND y BETWEEN {_tile_sql('0.5', '12.5', 8)[1]} AND {_tile_sql('0.5', '10.5', 8)[1]}""")
+def tile_table(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.tile_table(spark, (0.5, 10.5, 6.5, 12.5), 8).select("tile")
+
+
+@query()
+def thin_by_shape(spark: SparkSession, sf: str) -> DataFrame:
+    return thinning.thin_by_shape(fx.images(spark, sf), 2000.0).select("id", "sequence")

@@ -105,7 +105,8 @@ def _names(what: str, prefix: str = "") -> list[str]:
 def compiled_select(group: str, totals: bool = False, exact: bool = False) -> str:
     """The select list of compiled statistics over ``partials p`` (and ``totals t``)."""
     total = lambda n: f"max(t.{n})" if totals else f"sum(p.{n})"
-    numbers = [f"{n}{a}" for n in ("number_of_images", "number_of_sequences", "count_osm_ids", "number_of_osm_ids", "paved_segments", "unpaved_segments", "undecided_segments") for a in AREA]
+    numbers = [f"{n}{a}" for n in ("number_of_images", "number_of_sequences", "count_osm_ids", "number_of_osm_ids", "paved_segments", "unpaved_segments", "undecided_segments") for a in AREA] + ["number_of_z14_tiles"]
+    numbers = [n for n in numbers if not (exact and n.startswith("count_osm_ids"))]
     for prefix in ("", "pred_", "osm_"):
         numbers += _names("id", prefix)
     numbers += [f"{c}{a}_{x}" for c in ROAD_CLASSES for a in AREA for x in ("unpaved", "paved")]
@@ -116,7 +117,7 @@ def compiled_select(group: str, totals: bool = False, exact: bool = False) -> st
     share = lambda a, b, n: f"({a})::DOUBLE / nullif(({b})::DOUBLE, 0) AS {n}"
     for a in AREA:
         out.append(share(f"sum(p.paved_segments{a})", f"sum(p.paved_segments{a}) + sum(p.unpaved_segments{a})", f"paved_ratio{a}"))
-        out.append(share(f"sum(p.count_osm_ids{a})", total(f"number_of_osm_ids{a}"), f"osm_coverage{a}"))
+        out.append(share(f"len(list_distinct(flatten(list(p.osm_ids{a}))))" if exact else f"sum(p.count_osm_ids{a})", total(f"number_of_osm_ids{a}"), f"osm_coverage{a}"))
         out.append(share(f"sum(p.length{a})", total(f"osm_length{a}"), f"pred_length_ratio{a}"))
         out.append(share(f"sum(p.total_length{a})", total(f"osm_length{a}"), f"covered_length_ratio{a}"))
     for what in ("length", "id"):
@@ -126,11 +127,11 @@ def compiled_select(group: str, totals: bool = False, exact: bool = False) -> st
     if exact:
         for a in AREA:
             merged = f"list_distinct(flatten(list(p.osm_ids{a})))"
-            out += [f"{_text(f'flatten(list(p.osm_ids{a}))')} AS osm_ids{a}", f"len({merged})::BIGINT AS exact_osm_ids{a}"]
+            out += [f"{_text(f'flatten(list(p.osm_ids{a}))')} AS osm_ids{a}", f"len({merged})::BIGINT AS count_osm_ids{a}"]
             out += [share(f"sum(floor(p.{n} * len(p.osm_ids{a}) * 1e6 + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1e6", f"len({merged})", n) for n in (f"n_predictions_p_osm_id{a}", f"n_points_p_osm_id{a}")]
             for n in (f"latest_timestamps{a}", f"latest_timestamps{a}_osm"):
                 out.append(f"coalesce(array_to_string(list_sort(flatten(list(p.{n}) FILTER (p.{n} IS NOT NULL))), ','), '') AS {n}")
-        out += [f"{_text(f'flatten(list(p.{n}))')} AS {n}" for n in ("countries", "continents", "sequences")]
+        out += [f"{_text(f'flatten(list(p.{n}))')} AS {n}" for n in ("countries", "continents", "sequences", "z14_tile_list")]
     return f"{group}, " + ",\n ".join(out)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,9 +115,41 @@ def images_from_json(payload: DataFrame, column: str = "json") -> DataFrame:
     ).dropDuplicates(["id"])
 
 
+def class_of_name(path: Column, classes: list[str], otherwise: str | None = None) -> Column:
+    """The first of ``classes`` that a file's name holds, whatever the letters' case."""
+    name, found = F.lower(F.element_at(F.split(path, "/"), -1)), F.lit(otherwise)
+    for c in reversed(classes):
+        found = F.when(F.contains(name, F.lit(c.lower())), F.lit(c)).otherwise(found)
+    return found
+
+
+def tile_of_path(path: Column) -> Column:
+    """The tile ``x-y-z`` in a file's name (``images_137-82-8.parquet``) or in the folder of a partition."""
+    found = F.regexp_extract(path, r"(?:^|[/_=])(\d+-\d+-\d+)(?:[._/]|$)", 1)
+    return F.nullif(found, F.lit(""))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder of ``spark.checkpoint.dir``; in a temporary one only where that is unset and Spark is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="wayglint-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def write_parquet(df: DataFrame, path: str, partition: str | None = None, rows_per_file: int | None = None, mode: str = "overwrite") -> None:
-    """zstd Parquet; with ``partition`` a folder for each value, whose rows come together in one shuffle, split by rows a file."""
-    if partition:
+    """zstd Parquet; with ``partition`` a folder for each value, whose rows come together in one shuffle, split by rows a file.
+
+    With ``rows_per_file`` a value of more rows is dealt to as many writers as it has files, so that no task holds it all.
+    """
+    if partition and rows_per_file:
+        ways = df.groupBy(F.col(partition).alias("_value")).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_ways"))
+        by = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+        many = df.join(ways, df[partition].eqNullSafe(ways["_value"])).withColumn("_way", F.pmod(F.xxhash64(*by), F.col("_ways")))
+        df = many.repartition(partition, "_way").select(*df.columns)
+    elif partition:
         df = df.repartition(partition)
     w = df.write.mode(mode).option("compression", "zstd")
     if rows_per_file:

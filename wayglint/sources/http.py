@@ -19,16 +19,22 @@ def fetch(url: str, timeout: float) -> tuple[int, str]:
         return r.status, r.read().decode()
 
 
-def pages_of(url: str, key: str, page_size: int, retries: int = 3, pause: float = 1.0, timeout: float = 30.0, get: Callable = fetch) -> Iterator[tuple]:
-    """Rows ``key, page, status, error, json`` of one key: pages until one is short or brings no new id.
+def pages_of(url: str, key: str, page_size: int, retries: int = 3, pause: float = 1.0, timeout: float = 30.0, get: Callable = fetch, stale: int = 3, rate: float = 0.0) -> Iterator[tuple]:
+    """Rows ``key, page, status, error, json`` of one key: pages until one is short, or ``stale`` in a row bring no new id.
+
+    ``rate`` bounds the calls a second, if it is not zero.
 
     A page is tried ``retries`` times with doubling pauses; then a row with status ``failed`` ends the key.
     """
     seen: set = set()
-    page = 0
+    page = without = 0
+    last = float("-inf")
     while True:
         error, text = None, None
         for attempt in range(retries):
+            if rate and (early := last + 1 / rate - time.monotonic()) > 0:
+                time.sleep(early)
+            last = time.monotonic()
             try:
                 status, text = get(url.format(key=key, page=page), timeout)
                 if status == 200:
@@ -43,18 +49,19 @@ def pages_of(url: str, key: str, page_size: int, retries: int = 3, pause: float
         if error is not None:
             yield key, page, "failed", error, None
             return
-        ids = {r.get("id") for r in json.loads(text).get("data") or [] if isinstance(r, dict)}
-        new = ids - seen
+        records = [r for r in json.loads(text).get("data") or [] if isinstance(r, dict)]
+        new = {r.get("id") for r in records} - seen
         if new:
             yield key, page, "ok", None, text
-        if not new or len(ids) < page_size:
+        without = 0 if new else without + 1
+        if len(records) < page_size or without >= stale:
             return
-        seen |= ids
+        seen |= new
         page += 1
 
 
 class PagedJson(DataSource):
-    """Options: url (with {key} and {page}), keys (comma-joined), page_size, retries, pause, timeout; tokens belong in the url from the environment."""
+    """Options: url (with {key} and {page}), keys (comma-joined), page_size, retries, pause, timeout, stale, rate; tokens belong in the url from the environment."""
 
     @classmethod
     def name(cls) -> str:
@@ -76,7 +83,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         o = self.options
-        return pages_of(o["url"], partition.value, int(o.get("page_size", 2000)), int(o.get("retries", 3)), float(o.get("pause", 1)), float(o.get("timeout", 30)))
+        return pages_of(o["url"], partition.value, int(o.get("page_size", 2000)), int(o.get("retries", 3)), float(o.get("pause", 1)), float(o.get("timeout", 30)), stale=int(o.get("stale", 3)), rate=float(o.get("rate", 0)))
 
 
 def split_by_status(rows):
