@@ -74,7 +74,7 @@ def test_pages():
             raise OSError("down")
         return 200, json.dumps({"data": answers[page]})
 
-    rows = list(http.pages_of("http://h?k={key}&p={page}", "a", 2, pause=0, get=get))
+    rows = list(http.pages_of("http://h?k={key}&p={page}", "a", 2, pause=0, get=get, stale=1))
     assert [(r[1], r[2]) for r in rows] == [(0, "ok"), (1, "ok")]
     failed = list(http.pages_of("http://h?{key}{page}", "a", 2, retries=2, pause=0, get=lambda u, t: (500, "")))
     assert failed == [("a", 0, "failed", "status 500", None)]
