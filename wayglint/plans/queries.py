@@ -351,8 +351,8 @@ st AS (SELECT *, lag(long) OVER w AS px, lag(lat) OVER w AS py FROM near WINDOW
 tr AS (SELECT sequence, osm_id, urban, count(*)::BIGINT AS n, coalesce(sum({_haversine_sql('px', 'py', 'long', 'lat')}) FILTER (px IS NOT NULL), 0)::DOUBLE AS len FROM st GROUP BY ALL)"""
 
 
-def _traced(spark: SparkSession, sf: str) -> DataFrame:
-    return traces.assemble(fx.stat_images(spark, sf).where("distance_meter < 20"))
+def _traced(spark: SparkSession, sf: str, **how) -> DataFrame:
+    return traces.assemble(fx.stat_images(spark, sf).where("distance_meter < 20"), **how)
 
 
 @query(f"{with_('stat_images')} near AS (SELECT * FROM stat_images WHERE distance_meter < 20) SELECT sequence, osm_id, urban, string_agg(id::VARCHAR, ',' ORDER BY timestamp, id) AS ids, count(*) > 1 AS is_line FROM near GROUP BY ALL")
@@ -362,7 +362,7 @@ def trace_assemble(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_TRACES} SELECT sequence, osm_id, urban, n, floor(len + 0.5::DOUBLE)::BIGINT AS metres FROM tr")
 def trace_length(spark: SparkSession, sf: str) -> DataFrame:
-    return _traced(spark, sf).select("sequence", "osm_id", "urban", F.size("ids").cast("bigint").alias("n"), F.floor(F.col("length") + 0.5).cast("bigint").alias("metres"))
+    return _traced(spark, sf, digits=None).select("sequence", "osm_id", "urban", F.size("ids").cast("bigint").alias("n"), F.floor(F.col("length") + 0.5).cast("bigint").alias("metres"))
 
 
 @query(f"{with_('stat_images')} t AS (SELECT 1) SELECT z8_tiles, osm_id, urban, max(length) AS length FROM stat_images GROUP BY ALL")
