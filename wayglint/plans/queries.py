@@ -298,7 +298,8 @@ SELECT id, urban FROM w WHERE kept{rows}"""
 
 
 def _thinned(spark: SparkSession, sf: str, urban: float = 100.0, rural: float = 1000.0) -> DataFrame:
-    d = _enriched(spark, sf).withColumn("urban", layers.is_urban("urban_id"))
+    d = layers.join_points(fx.images(spark, sf), fx.countries(spark, sf), ["country"])
+    d = layers.flag_points(d, fx.urban(spark, sf), "urban", layers.URBAN_ZOOM, equal=["country"])
     one = d.groupBy("id", "sequence", "timestamp", "long", "lat").agg(F.max("urban").alias("urban"))
     return thinning.thin(one, urban, rural).select("id", "urban")
 
