@@ -335,7 +335,7 @@ def match_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_NEAREST + " SELECT id, osm_id, floor(qx * 1e6 + 0.5::DOUBLE)::BIGINT AS x, floor(qy * 1e6 + 0.5::DOUBLE)::BIGINT AS y FROM near")
 def shortest_point_segment(spark: SparkSession, sf: str) -> DataFrame:
-    c = matching.candidates(fx.images(spark, sf), fx.roads(spark, sf)).withColumn("q", geo.nearest_on_line(geo.vertex("long", "lat"), F.col("geometry")))
+    c = matching.candidates(fx.images(spark, sf), fx.roads(spark, sf).select("osm_id", "geometry"), q=geo.nearest_on_line(geo.vertex("long", "lat"), F.col("geometry")))
     return c.select("id", "osm_id", F.floor(F.col("q.x") * 1e6 + 0.5).cast("bigint").alias("x"), F.floor(F.col("q.y") * 1e6 + 0.5).cast("bigint").alias("y"))
 
 
