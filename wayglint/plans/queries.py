@@ -221,7 +221,7 @@ cand AS (SELECT i.id, r.osm_id FROM images i JOIN pad r ON i.long BETWEEN r.x1 -
 
 @query(_CAND + " SELECT id, osm_id FROM cand")
 def band_join(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.candidates(fx.images(spark, sf), fx.roads(spark, sf)).select("id", "osm_id")
+    return matching.candidates(fx.images(spark, sf), fx.roads(spark, sf).select("osm_id", "geometry")).select("id", "osm_id")
 
 
 # ---- enrichment --------------------------------------------------------------------------------------------------
