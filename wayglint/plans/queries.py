@@ -330,7 +330,7 @@ dist AS (SELECT *, {_haversine_sql('long', 'lat', 'qx', 'qy')} AS d FROM near)""
 
 @query(_CAND + " SELECT osm_id, count(*)::BIGINT AS n FROM cand GROUP BY osm_id")
 def match_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.candidates(fx.images(spark, sf), fx.roads(spark, sf)).groupBy("osm_id").agg(F.count("*").alias("n"))
+    return matching.candidate_counts(fx.images(spark, sf), fx.roads(spark, sf))
 
 
 @query(_NEAREST + " SELECT id, osm_id, floor(qx * 1e6 + 0.5::DOUBLE)::BIGINT AS x, floor(qy * 1e6 + 0.5::DOUBLE)::BIGINT AS y FROM near")
