@@ -341,7 +341,7 @@ def shortest_point_segment(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_NEAREST + " SELECT id, osm_id, floor(d * 1000 + 0.5::DOUBLE)::BIGINT AS mm FROM dist WHERE d < 30")
 def match_within_30m(spark: SparkSession, sf: str) -> DataFrame:
-    found = matching.match(fx.images(spark, sf), fx.roads(spark, sf), 30.0)
+    found = matching.match(fx.images(spark, sf), fx.roads(spark, sf).select("osm_id", "geometry"), 30.0)
     return found.select("id", "osm_id", F.floor(F.col("distance_meter") * 1000 + 0.5).cast("bigint").alias("mm"))
 
 
