@@ -1,9 +1,11 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from wayglint.llm import lm_scoring
@@ -62,3 +64,15 @@ def test_orders_match_the_definition(spark, monkeypatch, order):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {x.doc_id: x.logprob for x in lm_scoring.backoff_scores(docs, order).collect()}
     assert [got[i] for i in range(len(texts))] == pytest.approx(slow(texts, order))
+
+
+def test_a_batch_holds_the_words_of_few_texts_at_a_time():
+    """Peak of Python's memory over 1.5 million words, where the words' objects alone would be over 80 MB."""
+    texts = pa.chunked_array([pa.array([" ".join(f"w{(i * j) % 5000}" for j in range(1500)) for i in range(1000)])])
+    lm_scoring._Batch(texts.slice(0, 100), 2)
+    tracemalloc.start()
+    b = lm_scoring._Batch(texts, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert b.sizes.sum() == 1_500_000 and b.counts.sum() == 3 * 1_500_000 - 1000  # all words, words, pairs
+    assert peak < 250e6

@@ -15,6 +15,8 @@ from .substring import mixed, word_names
 #: Words in a batch of documents at least and at most, and n-grams of a batch in a part of the hash space about at least
 #: (as long as batches may grow).
 BATCH_WORDS, MOST_WORDS, PIECE = 1_500_000, 4_000_000, 2_000
+#: Texts whose words are objects at one time.
+SLICE = 64
 #: Factor of each step back, as published.
 BACKOFF = 0.4
 
@@ -35,20 +37,30 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
 class _Batch:
     """The n-grams of some documents: hashes of one to ``order`` words in a row, sorted, with their counts."""
 
-    def __init__(self, texts: list[str | None], order: int):
-        words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        names = word_names([w for d in words for w in d])
-        self.doc = np.repeat(np.arange(len(words)), self.sizes)
+    def __init__(self, texts: pa.ChunkedArray, order: int):
+        # words are objects of some sixty bytes each, so only those of a few texts are there at a time
+        sizes, names = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for first in range(0, len(texts), SLICE):
+            words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts.slice(first, SLICE).to_pylist()]
+            sizes.append(np.array([len(w) for w in words], np.int64))
+            names.append(word_names([w for d in words for w in d]))
+        words, self.sizes, names = None, np.concatenate(sizes), np.concatenate(names)
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         place = np.arange(len(names)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        # for each length, where in the batch an n-gram of it ends; hash zero stands for all words, so that their number is counted like an n-gram's
-        self.ends = [np.flatnonzero(place >= k) for k in range(order)]
-        grams, so_far = [np.zeros(len(names), np.uint64), mixed(names, 51)], names
+        # for each length, where in the batch an n-gram of it ends
+        self.ends = [np.flatnonzero(place >= k).astype(np.int32) for k in range(order)]
+        del place
+        grams, so_far = [mixed(names, 51)], names
         for k in range(1, order):
             so_far = np.concatenate([np.zeros(1, np.uint64), mixed(so_far[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(names[1:], 53), 53 + 4 * k)])[: len(names)]
             grams.append(so_far[self.ends[k]])
-        self.hashes, inverse, self.counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-        self.at = np.split(inverse, np.cumsum([len(g) for g in grams])[:-1])[1:]
+        cuts, grams, n_words = np.cumsum([len(g) for g in grams])[:-1], np.concatenate(grams), len(names)
+        del names, so_far
+        self.hashes, inverse, self.counts = np.unique(grams, return_inverse=True, return_counts=True)
+        self.at = np.split(inverse.astype(np.int32), cuts)
+        if n_words:  # hash zero stands for all words, so that their number is counted like an n-gram's
+            self.hashes, self.counts = np.concatenate([np.zeros(1, np.uint64), self.hashes]), np.concatenate([[n_words], self.counts])
+            self.at = [a + np.int32(1) for a in self.at]
 
     def part_of(self, parts: int) -> np.ndarray:
         """Which of so many equal stretches of the hash space each n-gram is in."""
@@ -56,7 +68,7 @@ class _Batch:
 
     def _others(self, at: np.ndarray, doc: np.ndarray, totals: np.ndarray) -> np.ndarray:
         """For each occurrence, how often its n-gram is in other documents."""
-        _, inverse, own = np.unique(doc * np.int64(len(self.hashes)) + at, return_inverse=True, return_counts=True)
+        _, inverse, own = np.unique(doc.astype(np.int64) * len(self.hashes) + at, return_inverse=True, return_counts=True)
         return totals[at] - own[inverse]
 
     def scores(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +116,7 @@ def backoff_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.length("text"), "text"), F.lit(parts)).cast("int"))
 
     def ask(table: pa.Table) -> pa.Table:
-        b = _Batch(table.column("text").to_pylist(), order)
+        b = _Batch(table.column("text"), order)
         cuts = np.searchsorted(b.part_of(parts), np.arange(parts + 1))
         filled = [(p, a, z) for p, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if z > a]
         batch = table.column("batch")[0].as_py()
@@ -124,7 +136,7 @@ def backoff_scores(docs: DataFrame, order: int = 2) -> DataFrame:
         return pa.Table.from_pydict({"batch": [p["batch"] for p in pieces], "part": [p["part"] for p in pieces], "n": [p["n"] for p in pieces], "totals": answers}, schema=_ANSWER)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-        b = _Batch(table.column("text").to_pylist(), order)
+        b = _Batch(table.column("text"), order)
         found = sorted(answers.to_pylist(), key=lambda a: a["part"])
         totals = np.concatenate([np.zeros(0, np.uint64), *[_unpack(a["totals"], a["n"]) for a in found]]).astype(np.int64)
         logprob, seen = b.scores(totals)
