@@ -84,6 +84,19 @@ def test_equal_urban_areas_are_tested_as_one(spark, tables, name, rows):
     assert time.monotonic() - began < 45
 
 
+@pytest.mark.parametrize("tiles", [100_000, 0])
+def test_two_urban_layers_equal_their_sql_whether_broadcast_or_not(compare, monkeypatch, tiles):
+    monkeypatch.setattr(layers, "BROADCAST_TILES", tiles)
+    areas = "SELECT t.* REPLACE (s_suppkey + i * 10 AS s_suppkey, 0 AS s_nationkey) FROM {0} t, range(10) r(i)"
+    assert len(compare("enrich_two_urban_layers", supplier=areas)) > 1000
+
+
+def test_rows_of_a_crowded_place_are_spread_over_tasks(spark, tables):
+    got = queries.QUERIES["enrich_two_urban_layers"](spark, tables(**CROWD))
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 6000 * 6000 and max(tasks) < sum(tasks) / 8
+
+
 def test_polygons_that_are_no_boxes(spark):
     """Lines there and back around three corners, and a notched box, pass through corners of their bounding boxes."""
     shapes = {"box": "0 0, 2 0, 2 2, 0 2, 0 0", "back": "0 0, 2 0, 2 2, 2 0, 0 0", "bow": "0 0, 2 2, 2 0, 0 2, 0 0", "notched": "0 0, 2 0, 2 2, 1 1, 0 2, 0 0"}
